@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import simhash, suffix_dedup
 from .common import documents
 
 
@@ -10,7 +10,12 @@ def op8_simhash_near_duplicates(spark, sf_dir):
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op1_suffix_array_repeats(spark, sf_dir):
+    return suffix_dedup.repeats(documents(spark, sf_dir))
+
+
 QUERIES = {
+    "op1_suffix_array_repeats": op1_suffix_array_repeats,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
 }
 ORACLE: dict[str, str] = {}
