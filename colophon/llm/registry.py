@@ -2,20 +2,46 @@
 
 from __future__ import annotations
 
-from . import simhash, suffix_dedup
+import corpus_pipeline
+
+from . import packing, quality, simhash, suffix_dedup, toxicity
 from .common import documents
 
 
-def op8_simhash_near_duplicates(spark, sf_dir):
-    return simhash.near_duplicates(documents(spark, sf_dir))
+def _table(spark, sf_dir, name):
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_suffix_array_repeats(spark, sf_dir):
     return suffix_dedup.repeats(documents(spark, sf_dir))
 
 
+def op5_toxic_clauses(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return toxicity.toxic_documents(docs, toxicity.learned_insults(docs, _table(spark, sf_dir, "labels")))
+
+
+def op7_quality_scores(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return quality.scores(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+def op8_simhash_near_duplicates(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op9_curve_packing(spark, sf_dir):
+    return packing.packs(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_suffix_array_repeats": op1_suffix_array_repeats,
+    "op5_toxic_clauses": op5_toxic_clauses,
+    "op7_quality_scores": op7_quality_scores,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
+    "op9_curve_packing": op9_curve_packing,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE: dict[str, str] = {}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
