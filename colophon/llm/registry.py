@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import packing, quality, simhash, suffix_dedup, toxicity
+from . import bpe, fingerprints, packing, quality, simhash, suffix_dedup, toxicity
 from .common import documents
 
 
@@ -21,6 +21,10 @@ def op5_toxic_clauses(spark, sf_dir):
     return toxicity.toxic_documents(docs, toxicity.learned_insults(docs, _table(spark, sf_dir, "labels")))
 
 
+def op6_threshold_sketches(spark, sf_dir):
+    return fingerprints.fingerprints(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_scores(spark, sf_dir):
     docs = documents(spark, sf_dir)
     return quality.scores(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
@@ -34,14 +38,20 @@ def op9_curve_packing(spark, sf_dir):
     return packing.packs(documents(spark, sf_dir))
 
 
+def op10_forced_boundary_bpe(spark, sf_dir):
+    return bpe.encoded(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_suffix_array_repeats": op1_suffix_array_repeats,
     "op5_toxic_clauses": op5_toxic_clauses,
+    "op6_threshold_sketches": op6_threshold_sketches,
     "op7_quality_scores": op7_quality_scores,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op9_curve_packing": op9_curve_packing,
+    "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_threshold_sketches": fingerprints.sql()}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
