@@ -1,10 +1,11 @@
 """Threshold-scaled sketches: of a document's shingles, every hash below a fixed fraction of the range.
 
 A shingle is ``WORDS`` successive words (runs without ASCII white space); a document of fewer words is one
-shingle. Its hash is the first 60 bits of its MD5, as 15 hexadecimal digits, so that SQL can state the
-same. Because the threshold is the same for all, the sketch of a union is the union of
+shingle of those it has. A word's value is the first 60 bits of its MD5, taken once for each distinct word of a worker; a shingle's hash
+is the sum of its words' values, each times a fixed odd number by its place, modulo 2**64, without the lowest 4 bits. SQL can state
+the same. Because the threshold is the same for all, the sketch of a union is the union of
 sketches (``merged``), and |A ∩ B| / |A| of sketches estimates the containment of A in B however unequal they
-are (``containment``). Everything is built-in Spark expressions, without Python workers.
+are (``containment``).
 
 Rows without an id are left out. Null and empty texts have an empty sketch. Rows that repeat an id have a sketch each;
 in containment their sketches are merged. Empty tables give empty results. Other columns don't matter.
@@ -12,32 +13,74 @@ in containment their sketches are merged. Empty tables give empty results. Other
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import textops as T
+from .common import keyed, written
+
 WORDS, FRACTION = 5, 1 / 16
-DIGITS = 15
+FACTOR = 0x9E3779B97F4A7C15
+REMEMBERED = 1_000_000  # words whose values a worker keeps before it starts afresh
+
+
+def factors(n: int) -> list[int]:
+    """The odd number of each place of a shingle, below 2**60 so that SQL can multiply without overflow."""
+    return [(pow(FACTOR, k + 1, 1 << 60)) for k in range(n)]
 
 
-def threshold(fraction: float) -> str:
+def threshold(fraction: float) -> int:
     """The least hash that isn't retained."""
     if not 0 < fraction <= 1:
         raise ValueError("fraction must be in (0, 1]")
-    bound = round(fraction * (1 << 4 * DIGITS))
-    return f"{bound:0{DIGITS}x}" if fraction < 1 else "g"
+    return round(fraction * (1 << 60))
 
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(F.coalesce(text, F.lit("")), "[ \\t\\n\\u000B\\f\\r]+"), lambda w: w != "")
+def word_values(w: T.Words, known: dict[int, int]) -> np.ndarray:
+    distinct, at, inverse = np.unique(w.hash, return_index=True, return_inverse=True)
+    if len(known) > REMEMBERED:
+        known.clear()
+    raw, out = w.data.tobytes(), []
+    for h, lo, hi in zip(distinct.tolist(), w.start[at].tolist(), w.end[at].tolist()):
+        v = known.get(h)
+        if v is None:
+            known[h] = v = int(hashlib.md5(raw[lo:hi]).hexdigest()[:15], 16)
+        out.append(v)
+    return np.array(out, np.uint64)[inverse] if out else np.zeros(0, np.uint64)
 
 
 def sketches(docs: DataFrame, key: str = "doc_id", n: int = WORDS, fraction: float = FRACTION) -> DataFrame:
     """(key, n_shingles, sketch) for each row; sketch: the distinct retained hashes, ascending."""
-    w = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias(key), words(F.col("text")).alias("w"))
-    count = F.when(F.size("w") == 0, 0).otherwise(F.greatest(F.size("w") - (n - 1), F.lit(1)))
-    hashes = F.transform(F.sequence(F.lit(1), F.col("n_shingles")), lambda i: F.substring(F.md5(F.concat_ws(" ", *(F.get("w", i + k) for k in range(-1, n - 1)))), 1, DIGITS))
-    kept = F.array_sort(F.array_distinct(F.filter(hashes, lambda h: h < threshold(fraction))))
-    return w.withColumn("n_shingles", count).select(key, "n_shingles", F.when(F.col("n_shingles") > 0, kept).otherwise(F.array().cast("array<string>")).alias("sketch"))
+    bound, times = np.uint64(threshold(fraction)), np.array(factors(n), np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[int, int] = {}
+        for b in batches:
+            for w in T.each_words(b.column(1), normal=False):
+                v = word_values(w, known)
+                h = np.zeros(len(v), np.uint64)
+                place = np.arange(len(v))
+                for k in range(n):  # words past the document's end count as 0; only a short document's first shingle has such
+                    x = v[k:] * times[k]
+                    h[: len(x)] += np.where(place[: len(x)] + k < w.last[: len(x)], x, np.uint64(0))
+                h >>= np.uint64(4)
+                words = np.diff(w.first)
+                count = np.where(words == 0, 0, np.maximum(words - (n - 1), 1))
+                doc = w.doc
+                ok = np.flatnonzero((place - w.first[:-1][doc] < count[doc]) & (h < bound))
+                order = np.lexsort((h[ok], doc[ok]))
+                d, g = doc[ok][order], h[ok][order]
+                new = np.r_[True, (d[1:] != d[:-1]) | (g[1:] != g[:-1])][: len(d)]
+                d, g = d[new], g[new]
+                sizes = np.bincount(d, minlength=w.hi - w.lo)
+                yield pa.RecordBatch.from_arrays([b.column(0)[w.lo : w.hi], pa.array(count.astype(np.int32)), T.list_array(g.astype(np.int64), sizes, pa.int64())], [key, "n_shingles", "sketch"])
+
+    return keyed(docs, key).mapInArrow(run, f"{key} long, n_shingles int, sketch array<long>")
 
 
 def merged(sketches: DataFrame, by: str) -> DataFrame:
@@ -59,28 +102,32 @@ def containment(a: DataFrame, b: DataFrame, a_key: str, b_key: str) -> DataFrame
     )
 
 
-def fingerprints(docs: DataFrame, items: DataFrame, n: int = WORDS, fraction: float = FRACTION, item_fraction_key: str = "item_id") -> DataFrame:
+def fingerprints(docs: DataFrame, items: DataFrame, n: int = WORDS, fraction: float = FRACTION, item_key: str = "item_id") -> DataFrame:
     """One row for each document: (doc_id, n_shingles, sketch, item_id, item_containment). sketch: its hashes, separated by spaces;
     item_id: the row of ``items`` that the document contains most of (the least id of equals), and how much, by the sketches; null where it shares nothing."""
-    s = sketches(docs, "doc_id", n, fraction)
-    pairs = containment(sketches(items, item_fraction_key, n, fraction), s, item_fraction_key, "doc_id")
-    best = pairs.groupBy("doc_id").agg(F.min(F.struct(-F.col("a_in_b"), F.col(item_fraction_key).alias("i"))).alias("best"))
-    best = best.select("doc_id", F.col("best.i").alias("item_id"), F.round(-F.col("best.col1"), 6).alias("item_containment"))
-    return s.join(best, "doc_id", "left").select("doc_id", "n_shingles", F.array_join("sketch", " ").alias("sketch"), "item_id", "item_containment")
+    s = written(sketches(docs, "doc_id", n, fraction), "sketches")
+    y = sketches(items, item_key, n, fraction).select(F.col(item_key).alias("i"), F.explode("sketch").alias("h")).distinct()
+    y = written(y.withColumn("n", F.count("*").over(Window.partitionBy("i"))), "items")
+    shared = s.select("doc_id", F.explode("sketch").alias("h")).join(y, "h").groupBy("doc_id", "i", "n").agg(F.countDistinct("h").alias("k"))
+    best = shared.groupBy("doc_id").agg(F.min(F.struct((-F.col("k") / F.col("n")).alias("c"), "i")).alias("best"))
+    best = best.select("doc_id", F.col("best.i").alias("item_id"), F.round(-F.col("best.c"), 6).alias("item_containment"))
+    return s.join(best, "doc_id", "left").select("doc_id", "n_shingles", F.array_join(F.col("sketch").cast("array<string>"), " ").alias("sketch"), "item_id", "item_containment")
 
 
 def sql(n: int = WORDS, fraction: float = FRACTION) -> str:
     """fingerprints() of documents and benchmark, for DuckDB."""
     def sketch(table: str, key: str) -> str:
         return f"""
-  SELECT {key} AS id, row_number() OVER () AS r, list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\v\\f\\r]+'), lambda w: w <> '') AS w
+  SELECT {key} AS id, row_number() OVER () AS r, list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') AS w
   FROM {table} WHERE {key} IS NOT NULL"""
 
+    values = "list_transform(w, lambda x: ('0x' || substr(md5(x), 1, 15))::BIGINT::HUGEINT)"
+    total = " + ".join(f"coalesce(v[i + {k}], 0) * {f} % 18446744073709551616" for k, f in enumerate(factors(n)))
     hashes = f"""
   SELECT DISTINCT r, id, h FROM (
-    SELECT r, id, substr(md5(array_to_string(w[i:i + {n - 1}], ' ')), 1, {DIGITS}) AS h
-    FROM (SELECT *, unnest(range(1, greatest(len(w) - {n - 1}, 1) + 1)) AS i FROM {{0}} WHERE len(w) > 0))
-  WHERE h < '{threshold(fraction)}'"""
+    SELECT r, id, ((({total}) % 18446744073709551616) // 16)::BIGINT AS h
+    FROM (SELECT r, id, v, unnest(range(1, greatest(len(v) - {n - 1}, 1) + 1)) AS i FROM (SELECT r, id, {values} AS v FROM {{0}} WHERE len(w) > 0)))
+  WHERE h < {threshold(fraction)}"""
     return f"""
 WITH d AS MATERIALIZED ({sketch("documents", "doc_id")}),
 b AS MATERIALIZED ({sketch("benchmark", "item_id")}),
@@ -95,5 +142,5 @@ ranked AS (
   FROM pairs JOIN (SELECT id AS item_id, count(DISTINCT h) AS na FROM bh GROUP BY 1) USING (item_id))
 SELECT d.id AS doc_id, CASE WHEN len(w) = 0 THEN 0 ELSE greatest(len(w) - {n - 1}, 1) END AS n_shingles,
   coalesce(s.sketch, '') AS sketch, p.item_id, p.item_containment
-FROM d LEFT JOIN (SELECT r, string_agg(h, ' ' ORDER BY h) AS sketch FROM dh GROUP BY r) s USING (r)
+FROM d LEFT JOIN (SELECT r, string_agg(h::VARCHAR, ' ' ORDER BY h) AS sketch FROM dh GROUP BY r) s USING (r)
 LEFT JOIN ranked p ON p.doc_id = d.id AND p.k = 1"""
