@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import bpe, fingerprints, packing, quality, simhash, suffix_dedup, toxicity, warc
+from . import bpe, fingerprints, lm, packing, quality, simhash, suffix_dedup, topk, toxicity, warc
 from .common import documents
 
 
@@ -20,6 +20,14 @@ def op2_warc_revisits(spark, sf_dir):
     return warc.deduplicated(_table(spark, sf_dir, "pages"))
 
 
+def op3_exact_top_k(spark, sf_dir):
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op4_deleted_interpolation(spark, sf_dir):
+    return lm.scores(documents(spark, sf_dir))
+
+
 def op5_toxic_clauses(spark, sf_dir):
     docs = documents(spark, sf_dir)
     return toxicity.toxic_documents(docs, toxicity.learned_insults(docs, _table(spark, sf_dir, "labels")))
@@ -49,6 +57,8 @@ def op10_forced_boundary_bpe(spark, sf_dir):
 QUERIES = {
     "op1_suffix_array_repeats": op1_suffix_array_repeats,
     "op2_warc_revisits": op2_warc_revisits,
+    "op3_exact_top_k": op3_exact_top_k,
+    "op4_deleted_interpolation": op4_deleted_interpolation,
     "op5_toxic_clauses": op5_toxic_clauses,
     "op6_threshold_sketches": op6_threshold_sketches,
     "op7_quality_scores": op7_quality_scores,
@@ -57,6 +67,6 @@ QUERIES = {
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE: dict[str, str] = {"op6_threshold_sketches": fingerprints.sql(), "op2_warc_revisits": warc.sql()}
+ORACLE: dict[str, str] = {"op6_threshold_sketches": fingerprints.sql(), "op2_warc_revisits": warc.sql(), "op3_exact_top_k": topk.sql()}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
