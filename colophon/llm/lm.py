@@ -10,9 +10,9 @@ doc_id) is held out: expectation-maximisation learns the weights from their even
 (bucket, log estimates in steps of 1/``STEP``), so that the driver's part is bounded by the histogram, whatever the number of documents. Scores
 are then given to all documents with counts of all documents.
 
-Words are those of textops (no ASCII case), as 64-bit hashes; n-grams are counted by hashes of 64 bits. Texts are cut at document boundaries into pieces
-of about 4 MB. A piece sends its distinct n-grams, once each, to the shard that their hash belongs to; a shard adds up all pieces and sends back the counts, in the order asked. So
-no count is dropped or approximated, nothing is broadcast but the weights, and each shard holds a fixed number of n-grams.
+Words are those of textops (no ASCII case), as 64-bit hashes; n-grams are counted by hashes of 56 bits. Texts are cut at document boundaries into pieces
+of about 1 MB. A piece sends its distinct n-grams, once each, to the shard that their hash belongs to; a shard adds up all pieces and sends back the counts, in the order asked. So
+no count is dropped or approximated, nothing is broadcast but the weights, and each shard holds about ``SHARD`` n-grams.
 
 Rows without doc_id are left out. Null and empty texts have no words and no score (null). Rows that repeat an id are scored one by one, and each counts. Without a held-out
 document with words the weights stay equal. Empty tables give an empty result. Columns besides doc_id and text don't matter.
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from . import textops as T
 from .common import keyed, written
 
-HELD, BUCKETS, STEP, PIECE, SHARD = 10, 16, 8, 1 << 22, 3_000_000
+HELD, BUCKETS, STEP, PIECE, SHARD, BYTES_A_GRAM = 10, 16, 8, 1 << 20, 1_000_000, 7
 U = np.uint64
 EDGE = U(0x5851F42D4C957F2D)
 ZERO = -(1 << 14)  # stands for the logarithm of an estimate of 0
@@ -72,88 +72,117 @@ def pair(context: np.ndarray, word: np.ndarray) -> np.ndarray:
     return T.mix(context * U(0x9E3779B97F4A7C15) + word)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows: a piece of one kind (held out or not). grams: distinct n-grams, words first; counts; doc: place of each event's document; word, context, gram: places in grams."""
-    for b in batches:
-        held = held_out(b.column(0).to_numpy())
-        for kind in (False, True):
-            part = b.filter(pa.array(held == kind))
-            for w in T.each_words(part.column(1), size=PIECE):
-                doc, context, word = events_of(w)
-                ids = part.column(0)[w.lo : w.hi].to_numpy()
-                words, of_word, n1 = np.unique(word, return_inverse=True, return_counts=True)
-                of_context = np.searchsorted(words, context)
-                grams, at, of_gram, n2 = np.unique(pair(context, word), return_index=True, return_inverse=True, return_counts=True)
-                order = np.argsort(at)  # in the order of appearance: places then grow slowly and compress
-                rank = np.empty_like(order)
-                rank[order] = np.arange(len(order))
-                of_gram = rank[of_gram]
-                new = np.zeros(len(of_gram), bool)
-                new[np.sort(at)] = True
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([uuid.uuid4().int >> 65]), pa.array([kind]), pa.array([len(words)], pa.int32()), pa.array([len(words) + len(grams)], pa.int64()),
-                     *(pa.array([x], pa.binary()) for x in (ids.tobytes(), packed(np.bincount(doc, minlength=len(ids))), packed(of_word[new]), packed(of_context[new]), packed(np.where(new, 0, of_gram + 1)), words.tobytes() + grams[order].tobytes(), packed(np.r_[n1, n2[order]])))],
-                    ["piece", "held", "n_words", "n_grams", "ids", "sizes", "word", "context", "gram", "grams", "counts"],
-                )
-
-
-PIECES = "piece long, held boolean, n_words int, n_grams long, ids binary, sizes binary, word binary, context binary, gram binary, grams binary, counts binary"
-
-
-def _asked(shards: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for piece, held, n_words, grams, counts in zip(*(b.column(c).to_pylist() for c in ("piece", "held", "n_words", "grams", "counts"))):
-                g, n = np.frombuffer(grams, U), unpacked(counts)
-                kind = np.arange(len(g)) < n_words
-                s = shard_of(g, shards)
-                order = np.argsort(s, kind="stable")
-                edge = np.searchsorted(s[order], np.arange(shards + 1))
-                for k in range(shards):
-                    x = order[edge[k] : edge[k + 1]]
-                    if len(x):
-                        yield pa.RecordBatch.from_arrays([pa.array([k]), pa.array([piece]), pa.array([held]), pa.array([int(kind[x].sum())], pa.int32()), pa.array([g[x].tobytes()], pa.binary()), pa.array([packed(n[x])], pa.binary())], ["shard", "piece", "held", "n_words", "grams", "counts"])
+SENT = "dest long, shard long, piece long, held boolean, n_words int, grams binary, counts binary, ids binary, sizes binary, word binary, gram binary, shards binary"
+KEPT = "piece long, shard long, held boolean, n_words int, ids binary, sizes binary, word binary, gram binary, shards binary, every binary, train binary, vocabulary long, total long, trained long"
 
-    return run
+
+def _row(schema: str, **values) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}
+    fields = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([values.get(n)], kinds[t]) for n, t in fields], [n for n, _ in fields])
 
 
 def shard_of(g: np.ndarray, shards: int) -> np.ndarray:
     return ((g >> U(40)) % U(shards)).astype(np.int64)
 
 
+def seven(g: np.ndarray) -> bytes:
+    """The lower 56 bits of each hash."""
+    return np.ascontiguousarray(g.view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+
+
+def widened(b: bytes) -> np.ndarray:
+    out = np.zeros((len(b) // 7, 8), np.uint8)
+    out[:, :7] = np.frombuffer(b, np.uint8).reshape(-1, 7)
+    return out.view(U).ravel()
+
+
+def _pieces(shards: int):
+    """For each piece of one kind (held out or not): a row with its structure (shard -1), and one for each shard with the distinct n-grams, words first, that it is asked for.
+    Structure: word: place of the word of each distinct pair, in order of appearance; gram: of each event, 0 for a new pair, else the pair's place + 1; shards: of each n-gram."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            held = held_out(b.column(0).to_numpy())
+            for kind in (False, True):
+                part = b.filter(pa.array(held == kind))
+                for w in T.each_words(part.column(1), size=PIECE):
+                    doc, context, word = events_of(w)
+                    ids, piece = part.column(0)[w.lo : w.hi].to_numpy(), uuid.uuid4().int >> 65
+                    words, of_word, n1 = np.unique(word, return_inverse=True, return_counts=True)
+                    grams, at, of_gram, n2 = np.unique(pair(context, word), return_index=True, return_inverse=True, return_counts=True)
+                    order = np.argsort(at)  # places then grow slowly and compress
+                    rank = np.empty_like(order)
+                    rank[order] = np.arange(len(order))
+                    new = np.zeros(len(of_gram), bool)
+                    new[at] = True
+                    g, n = np.r_[words, grams[order]], np.r_[n1, n2[order]]
+                    s = shard_of(g, shards)
+                    yield _row(
+                        SENT, dest=piece % shards, shard=-1, piece=piece, held=kind, n_words=len(words), ids=ids.tobytes(), sizes=packed(np.bincount(doc, minlength=len(ids))), word=packed(of_word[new]),
+                        gram=packed(np.where(new, 0, rank[of_gram] + 1)), shards=packed(s),
+                    )
+                    order = np.argsort(s, kind="stable")
+                    edge = np.searchsorted(s[order], np.arange(shards + 1))
+                    for k in np.flatnonzero(np.diff(edge)).tolist():
+                        x = order[edge[k] : edge[k + 1]]
+                        yield _row(SENT, dest=k, shard=k, piece=piece, held=kind, n_words=int((x < len(words)).sum()), grams=seven(g[x]), counts=packed(n[x]))
+
+    return run
+
+
 def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each piece that asked: the counts over all documents and over those not held out. A shard is held whole; words and pairs are counted apart."""
-    rows: list[tuple] = []
+    """For each piece that asked: the counts over all documents and over those not held out. A shard is held whole; words and pairs are counted apart. Structures pass."""
+    rows: list[dict] = []
 
     def answer():
-        total = {}
-        for words in (True, False):
-            parts = [np.frombuffer(g, U)[: n] if words else np.frombuffer(g, U)[n:] for _, _, _, n, g, _ in rows]
-            counts = [unpacked(c)[: r[3]] if words else unpacked(c)[r[3] :] for r in rows for c in (r[5],)]
-            keys, inverse = np.unique(np.concatenate(parts), return_inverse=True)
-            n = np.concatenate(counts)
-            of_held = np.repeat([r[2] for r in rows], [len(p) for p in parts])
-            every = np.bincount(inverse, n, len(keys)).astype(np.int64)
-            train = np.bincount(inverse, n * ~of_held, len(keys)).astype(np.int64)
-            at = 0
-            for k, p in enumerate(parts):
-                where = inverse[at : at + len(p)]
-                at += len(p)
-                total.setdefault(k, []).append((every[where], train[where]))
-        for k, r in enumerate(rows):
-            (a, x), (b, y) = total[k]
-            yield pa.RecordBatch.from_arrays([pa.array([r[1]]), pa.array([r[0]]), pa.array([packed(np.r_[a, b])], pa.binary()), pa.array([packed(np.r_[x, y]) if r[2] else None], pa.binary())], ["piece", "shard", "every", "train"])
+        grams, counts = [widened(r["grams"]) for r in rows], [unpacked(r["counts"]) for r in rows]
+        size = np.array([len(g) for g in grams])
+        held = np.repeat([r["held"] for r in rows], size)
+        is_word = np.concatenate([np.arange(len(g)) < r["n_words"] for g, r in zip(grams, rows)])
+        flat, n = np.concatenate(grams), np.concatenate(counts)
+        every, train, vocabulary = np.zeros(len(flat), np.int64), np.zeros(len(flat), np.int64), 0
+        for some in (np.flatnonzero(is_word), np.flatnonzero(~is_word)):
+            keys, inverse = np.unique(flat[some], return_inverse=True)
+            every[some] = np.bincount(inverse, n[some], len(keys)).astype(np.int64)[inverse]
+            train[some] = np.bincount(inverse, n[some] * ~held[some], len(keys)).astype(np.int64)[inverse]
+            vocabulary = vocabulary or len(keys)
+        total, trained = int(n[is_word].sum()), int(n[is_word & ~held].sum())
+        vocabulary = vocabulary if is_word.any() else 0
+        ends = np.cumsum(size)
+        for r, lo, hi in zip(rows, (ends - size).tolist(), ends.tolist()):
+            yield _row(KEPT, piece=r["piece"], shard=r["shard"], held=r["held"], every=packed(every[lo:hi]), train=packed(train[lo:hi]) if r["held"] else None, vocabulary=vocabulary, total=total, trained=trained)
 
     for b in batches:
-        for r in zip(*(c.to_pylist() for c in b.columns)):
-            if rows and rows[0][0] != r[0]:
+        for k in range(b.num_rows):
+            r = b.slice(k, 1).to_pylist()[0]
+            if rows and rows[0]["shard"] != r["shard"]:
                 yield from answer()
                 rows = []
-            rows.append(r)
+            if r["shard"] < 0:
+                yield _row(KEPT, **{c: v for c, v in r.items() if c in ("piece", "shard", "held", "n_words", "ids", "sizes", "word", "gram", "shards")})
+            else:
+                rows.append(r)
     if rows:
         yield from answer()
 
 
+def whole_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[dict]]]:
+    """(structure, answers in the order of shards) of each piece, from rows sorted by piece and shard."""
+    now, answers = None, []
+    for b in batches:
+        for k in range(b.num_rows):
+            r = b.slice(k, 1).to_pylist()[0]
+            if r["shard"] < 0:
+                if now is not None:
+                    yield now, answers
+                now, answers = r, []
+            else:
+                answers.append(r)
+    if now is not None:
+        yield now, answers
+
+
 def estimates(counts: np.ndarray, n_words: int, word: np.ndarray, context: np.ndarray, gram: np.ndarray, total: int, vocabulary: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bucket, p2, p1) of events."""
     c, cu = counts[n_words + gram], counts[context]
@@ -162,19 +191,20 @@ def estimates(counts: np.ndarray, n_words: int, word: np.ndarray, context: np.nd
 
 
 def _events(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(ids, sizes, word, context, gram) of a piece."""
-    again = unpacked(row["gram"])
+    """(ids, sizes, word, context, gram) of a piece. The context of an event is the word of the one before, or at the beginning of a document the boundary, the last word of any."""
+    again, size = unpacked(row["gram"]), unpacked(row["sizes"])
     gram = np.where(again == 0, np.cumsum(again == 0) - 1, again - 1)
-    return np.frombuffer(row["ids"], np.int64), unpacked(row["sizes"]), unpacked(row["word"])[gram], unpacked(row["context"])[gram], gram
+    word = unpacked(row["word"])[gram]
+    context = np.r_[word[-1:], word[:-1]]  # the word before a document's first event is the boundary that ended the document before, or the last one
+    return np.frombuffer(row["ids"], np.int64), size, word, context, gram
 
 
-def _counts(row: dict, shards: int, column: str) -> np.ndarray:
-    """Counts in the order of the piece's n-grams, from the answers of the shards."""
-    g = np.frombuffer(row["grams"], U)
-    order = np.argsort(shard_of(g, shards), kind="stable")
-    out = np.zeros(len(g), np.int64)
-    parts = [unpacked(x[column]) for x in sorted(row["answers"], key=lambda x: x["shard"])]
-    out[order] = np.concatenate(parts) if parts else 0
+def _counts(row: dict, answers: list[dict], column: str) -> np.ndarray:
+    """Counts in the order of the piece's n-grams."""
+    s = unpacked(row["shards"])
+    out = np.zeros(len(s), np.int64)
+    if answers:
+        out[np.argsort(s, kind="stable")] = np.concatenate([unpacked(x[column]) for x in answers])
     return out
 
 
@@ -202,54 +232,37 @@ def learned(histogram: list[tuple], vocabulary: int, rounds: int = 200) -> np.nd
 
 def scores(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     """(doc_id, n_words, log_probability, perplexity) for each row: natural logarithm of the text's probability, its end included, and exp of its negative mean."""
-    pieces = written(keyed(docs).mapInArrow(_pieces, PIECES), "pieces")
-    total = pieces.agg(F.sum("n_grams")).first()[0] or 0
-    shards = max(1, round(total / shard))
-    asked = pieces.mapInArrow(_asked(shards), "shard long, piece long, held boolean, n_words int, grams binary, counts binary")
-    answers = written(asked.repartition(shards, "shard").sortWithinPartitions("shard").mapInArrow(_answers, "piece long, shard long, every binary, train binary"), "answers")
-    by_piece = answers.groupBy("piece").agg(F.collect_list(F.struct("shard", "every", "train")).alias("answers"))
-
-    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for held, n, counts in zip(*(b.column(c).to_pylist() for c in ("held", "n_words", "counts"))):
-                yield pa.RecordBatch.from_arrays([pa.array([held]), pa.array([int(unpacked(counts)[:n].sum())])], ["held", "n"])
-
-    n = {r.held: r.n for r in pieces.select("held", "n_words", "counts").mapInArrow(sizes, "held boolean, n long").groupBy("held").agg(F.sum("n").alias("n")).collect()}
-    everything, train = sum(n.values()), n.get(False, 0)
-    # The number of distinct words: hashes spread evenly, so exact counting by a shuffle of distinct words alone.
-    vocabulary = pieces.select("n_words", "grams").mapInArrow(_vocabulary, "word long").distinct().count()
-    held = pieces.where("held").join(by_piece, "piece")
+    docs = keyed(docs)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, round(size / BYTES_A_GRAM / shard))
+    sent = docs.mapInArrow(_pieces(shards), SENT).repartition(shards, "dest").sortWithinPartitions("shard")
+    kept = written(sent.mapInArrow(_answers, KEPT), "counts")
+    by_shard = kept.where("shard >= 0").groupBy("shard").agg(*(F.max(c).alias(c) for c in ("vocabulary", "total", "trained")))
+    vocabulary, everything, train = (x or 0 for x in by_shard.agg(F.sum("vocabulary"), F.sum("total"), F.sum("trained")).first())
 
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                _, _, word, context, gram = _events(row)
-                bucket, p2, p1 = estimates(_counts(row, shards, "train"), row["n_words"], word, context, gram, train, vocabulary)
-                with np.errstate(divide="ignore"):
-                    s2, s1 = (np.where(p > 0, np.round(np.log(p) * STEP), ZERO).astype(np.int64) for p in (p2, p1))
-                keys, k = np.unique(np.stack([bucket, s2, s1], axis=1), axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays([*(pa.array(keys[:, j]) for j in range(3)), pa.array(k)], ["b", "s2", "s1", "n"])
-
-    found = held.mapInArrow(histogram, "b long, s2 long, s1 long, n long").groupBy("b", "s2", "s1").agg(F.sum("n").alias("n")).collect()
+        for row, answers in whole_pieces(batches):
+            _, _, word, context, gram = _events(row)
+            bucket, p2, p1 = estimates(_counts(row, answers, "train"), row["n_words"], word, context, gram, train, vocabulary)
+            with np.errstate(divide="ignore"):
+                s2, s1 = (np.where(p > 0, np.round(np.log(p) * STEP), ZERO).astype(np.int64) for p in (p2, p1))
+            keys, k = np.unique(np.stack([bucket, s2, s1], axis=1), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([*(pa.array(keys[:, j]) for j in range(3)), pa.array(k)], ["b", "s2", "s1", "n"])
+
+    together = lambda df: df.repartition("piece").sortWithinPartitions("piece", "shard")
+    found = together(kept.where("held").drop("every")).mapInArrow(histogram, "b long, s2 long, s1 long, n long").groupBy("b", "s2", "s1").agg(F.sum("n").alias("n")).collect()
     weights = learned(sorted(map(tuple, found)), vocabulary)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for row in b.to_pylist():
-                ids, size, word, context, gram = _events(row)
-                bucket, p2, p1 = estimates(_counts(row, shards, "every"), row["n_words"], word, context, gram, everything, vocabulary)
-                w = weights[bucket]
-                logs = np.log(w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] / (vocabulary + 1))
-                sums = np.bincount(np.repeat(np.arange(len(ids)), size), logs, len(ids))
-                none = size == 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array(np.maximum(size - 1, 0)), pa.array(np.round(sums, 6), mask=none), pa.array(np.round(np.exp(-sums / np.maximum(size, 1)), 6), mask=none)], ["doc_id", "n_words", "log_probability", "perplexity"]
-                )
-
-    return pieces.join(by_piece, "piece", "left").mapInArrow(score, "doc_id long, n_words long, log_probability double, perplexity double")
-
-
-def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for n, g in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(g, np.int64)[:n])], ["word"])
+        for row, answers in whole_pieces(batches):
+            ids, size, word, context, gram = _events(row)
+            bucket, p2, p1 = estimates(_counts(row, answers, "every"), row["n_words"], word, context, gram, everything, vocabulary)
+            w = weights[bucket]
+            logs = np.log(w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] / (vocabulary + 1))
+            sums = np.bincount(np.repeat(np.arange(len(ids)), size), logs, len(ids))
+            none = size == 0
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(np.maximum(size - 1, 0)), pa.array(np.round(sums, 6), mask=none), pa.array(np.round(np.exp(-sums / np.maximum(size, 1)), 6), mask=none)], ["doc_id", "n_words", "log_probability", "perplexity"]
+            )
+
+    return together(kept.drop("train", "vocabulary", "total", "trained")).mapInArrow(score, "doc_id long, n_words long, log_probability double, perplexity double")
