@@ -1,4 +1,141 @@
-"""Registered queries and the DuckDB SQL for each."""
+"""Registered queries and the DuckDB SQL for each. All run over the whole table of documents."""
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from colophon.functions import spelling as S
+from colophon.functions.lexicon import quoted, table
+from colophon.operators import authority, structure, tokens as T
+from colophon.sources.lines import lines
+
+
+def _docs(spark, d):
+    return spark.read.parquet(f"{d}/documents.parquet")
+
+
+def _lines(spark, d):
+    return lines(_docs(spark, d))
+
+
+def _tokens(spark, d):
+    return T.tokens(_lines(spark, d))
+
+
+def _forms(spark, d):
+    return T.forms(_tokens(spark, d))
+
+
+def normalize_lines(spark, d):
+    return _lines(spark, d).select("doc_id", "line_n", F.regexp_replace("text", "  +", " ").alias("text"))
+
+
+def token_kind_counts(spark, d):
+    return _tokens(spark, d).groupBy("kind").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("n_docs"))
+
+
+def choice_kinds(spark, d):
+    return T.choices(_forms(spark, d)).groupBy("choice_kind").agg(F.count("*").alias("n_forms"), F.sum("n").alias("n_tokens"))
+
+
+def boundary_summary(spark, d):
+    return structure.boundaries(_tokens(spark, d), _docs(spark, d)).groupBy("result").agg(F.count("*").alias("n"))
+
+
+def corpus_stats(spark, d):
+    hyphen = F.col("soft_hyphen").cast("int")
+    return _lines(spark, d).groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum(hyphen).alias("n_hyphens"), F.sum(F.length("text")).alias("n_letters"))
+
+
+def duplicate_ids(spark, d):
+    """The first five ids that stand more than once."""
+    return _docs(spark, d).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").orderBy("doc_id").limit(5)
+
+
+QUERIES = {
+    "choice_kinds": choice_kinds,
+    "lines_extract": _lines,
+    "normalize_lines": normalize_lines,
+    "tokenize": _tokens,
+    "token_kind_counts": token_kind_counts,
+    "choices": lambda s, d: T.choices(_forms(s, d)),
+    "suspicious_continuations": lambda s, d: structure.suspicious_continuations(_lines(s, d)),
+    "catchwords": lambda s, d: structure.catchwords(_lines(s, d)),
+    "italic_runs": lambda s, d: structure.italic_runs(_lines(s, d)),
+    "sentences": lambda s, d: structure.sentences(_tokens(s, d)),
+    "boundary_diagnosis": lambda s, d: structure.boundaries(_tokens(s, d), _docs(s, d)),
+    "boundary_summary": boundary_summary,
+    "clean_text": lambda s, d: structure.clean_text(_lines(s, d)),
+    "author_resolution": lambda s, d: authority.resolved(_forms(s, d)),
+    "locator_units": lambda s, d: authority.locators(_tokens(s, d)),
+    "corpus_stats": corpus_stats,
+    "duplicate_ids": duplicate_ids,
+}
+
+
+def _pairs(name: str, *columns: str) -> str:
+    rows = ", ".join(f"({quoted([k, v])})" for k, v in table(name).items())
+    return f"(VALUES {rows}) AS {name}({', '.join(columns)})"
+
+
+_TRIM = r"'^[\s]+|[\s]+$', '', 'g'"
+_LINES = rf"""
+l AS (SELECT doc_id, line_n, regexp_replace(t, '\s*¬$', '') AS text, suffix(t, '¬') AS soft_hyphen
+  FROM (SELECT doc_id, unnest(range(1, len(ls) + 1))::INTEGER AS line_n, regexp_replace(unnest(ls), {_TRIM}) AS t FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))
+  WHERE t <> '')"""
+_KIND = "CASE WHEN x IN ('&', '&amp;') THEN 'amp' WHEN x IN ('[', ']', '(', ')', ',', ';', ':', '?', '!') THEN 'pc' WHEN x IN ('.', '...') THEN 'dot' ELSE 'word' END"
+_DOTTED = quoted(table("dotted"))
+_TOKENS = _LINES + rf""",
+t0 AS (SELECT doc_id, line_n, unnest(range(1, len(a) + 1)) AS i, unnest(a) AS x FROM (SELECT doc_id, line_n, regexp_extract_all(text, '{T.TOKEN}') AS a FROM l)),
+t1 AS (SELECT *, {_KIND} AS k, lead(x) OVER (PARTITION BY doc_id, line_n ORDER BY i) AS y FROM t0),
+t2 AS (SELECT *, coalesce(k = 'word' AND NOT regexp_full_match(x, '[0-9]+') AND y IN ('.', '...') AND (x || '.' IN ({_DOTTED}) OR lower(x || '.') IN ({_DOTTED})), false) AS m FROM t1),
+t3 AS (SELECT *, coalesce(lag(m) OVER (PARTITION BY doc_id, line_n ORDER BY i), false) AS gone FROM t2),
+t AS (SELECT doc_id, line_n, row_number() OVER (PARTITION BY doc_id, line_n ORDER BY i)::INTEGER AS tok_n, CASE WHEN m THEN 'abbrev_dot' ELSE k END AS kind, CASE WHEN m THEN x || '.' ELSE x END AS text FROM t3 WHERE NOT gone)"""
+_FORMS = _TOKENS + ", f AS (SELECT kind, text, count(*) AS n FROM t WHERE kind IN ('word', 'abbrev_dot') GROUP BY ALL)"
+_CHOICES = _FORMS + rf""",
+c1 AS (SELECT f.*, CASE WHEN kind = 'abbrev_dot' THEN nullif(coalesce(a.v, b.v), '') END AS expansion, r.v AS r, s.v AS ls,
+    regexp_replace({S.long_s_root("f.text")}, 'ss([\p{{L}}\p{{N}}_])', 'ſſ\1', 'g') AS root0
+  FROM f LEFT JOIN {_pairs("expansions", "k", "v").replace(" AS expansions", " AS a")} ON a.k = f.text LEFT JOIN {_pairs("expansions", "k", "v").replace(" AS expansions", " AS b")} ON b.k = lower(f.text)
+  LEFT JOIN {_pairs("regular_forms", "k", "v").replace(" AS regular_forms", " AS r")} ON r.k = replace(f.text, 'ſ', 's') LEFT JOIN {_pairs("long_s_forms", "k", "v").replace(" AS long_s_forms", " AS s")} ON s.k = lower(f.text)),
+c2 AS (SELECT *, CASE WHEN ls IS NOT NULL THEN CASE WHEN upper(text) = text AND lower(text) <> text THEN upper(ls) ELSE {S.with_initial_of("ls", "text")} END
+    WHEN r IS NULL AND root0 <> lower(text) THEN {S.with_initial_of("root0", "text")} END AS long0 FROM c1),
+c3 AS (SELECT *, CASE WHEN long0 <> text THEN long0 END AS long FROM c2),
+c4 AS (SELECT *, CASE WHEN expansion IS NOT NULL THEN 'abbr' WHEN r IS NOT NULL THEN 'reg' WHEN long IS NOT NULL THEN 'long_s' WHEN contains(text, 'ae') THEN 'ae' WHEN {S.has_macron("text")} THEN 'macron' ELSE 'plain' END AS choice_kind FROM c3),
+c AS (SELECT kind, text, n, choice_kind, CASE choice_kind WHEN 'long_s' THEN long WHEN 'ae' THEN replace(text, 'ae', 'æ') ELSE text END AS orig,
+  CASE choice_kind WHEN 'abbr' THEN expansion WHEN 'reg' THEN r WHEN 'macron' THEN {S.macrons("text")} ELSE text END AS reg FROM c4)"""
+_BOUNDARIES = _TOKENS + r""",
+e AS (SELECT doc_id, arg_max(text, (line_n, tok_n)) AS last, arg_min(text, (line_n, tok_n)) FILTER (kind = 'word') AS fw FROM t GROUP BY 1),
+n AS (SELECT doc_id AS from_doc, lead(doc_id) OVER o AS to_doc, last IN ('.', '?', '!') AS closes, last, lead(fw) OVER o AS first_word
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL) LEFT JOIN e USING (doc_id) WINDOW o AS (ORDER BY doc_id)),
+s AS (SELECT *, coalesce(regexp_matches(first_word, '^\p{Ll}'), false) AS small FROM n WHERE to_doc IS NOT NULL),
+d AS (SELECT from_doc, to_doc, CASE WHEN last IS NULL OR first_word IS NULL THEN 'uncertain' WHEN NOT closes AND small THEN 'continues' WHEN closes AND NOT small THEN 'new' ELSE 'uncertain' END AS result, closes, first_word FROM s)"""
+_WORKS = ", ".join(f"({quoted([k, v[0]])})" if v[0] else f"({quoted([k])}, NULL)" for k, v in table("works").items())
+_RESOLVED = _FORMS + rf""",
+w(k, b) AS (VALUES {_WORKS}),
+g AS (SELECT text, n, regexp_replace(translate(lower(text), '{authority.ACCENTED}', '{authority.BARE}'), '[^a-z0-9]', '', 'g') AS key FROM f),
+h AS (SELECT g.*, (SELECT min(b) FROM w WHERE k = key) AS b,
+  (SELECT count(*) FROM w WHERE starts_with(k, substr(key, 1, 4))) AS c4, (SELECT min(b) FROM w WHERE starts_with(k, substr(key, 1, 4))) AS b4,
+  (SELECT count(*) FROM w WHERE starts_with(k, substr(key, 1, 3))) AS c3, (SELECT min(b) FROM w WHERE starts_with(k, substr(key, 1, 3))) AS b3
+  FROM g WHERE length(key) >= 2)
+SELECT text, n, key, CASE WHEN b IS NOT NULL THEN b WHEN c4 = 1 THEN b4 ELSE b3 END AS bib_id, CASE WHEN b IS NOT NULL THEN 'exact' ELSE 'prefix' END AS matched
+FROM h WHERE b IS NOT NULL OR (length(key) >= 3 AND (c4 = 1 OR (c4 = 0 AND c3 = 1)))"""
+
+ORACLE = {
+    "choice_kinds": f"WITH {_CHOICES} SELECT choice_kind, count(*) AS n_forms, sum(n)::BIGINT AS n_tokens FROM c GROUP BY 1",
+    "lines_extract": f"WITH {_LINES} SELECT * FROM l",
+    "normalize_lines": f"WITH {_LINES} SELECT doc_id, line_n, regexp_replace(text, '  +', ' ', 'g') AS text FROM l",
+    "tokenize": f"WITH {_TOKENS} SELECT * FROM t",
+    "token_kind_counts": f"WITH {_TOKENS} SELECT kind, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM t GROUP BY 1",
+    "choices": f"WITH {_CHOICES} SELECT * FROM c",
+    "suspicious_continuations": rf"WITH {_LINES} SELECT doc_id, line_n, text, next_text FROM (SELECT *, lead(text) OVER (PARTITION BY doc_id ORDER BY line_n) AS next_text FROM l) WHERE NOT soft_hyphen AND NOT suffix(text, '-') AND regexp_matches(next_text, '^\p{{Ll}}')",
+    "catchwords": rf"WITH {_LINES} SELECT doc_id, line_n, text AS catchword FROM (SELECT *, lag(soft_hyphen) OVER o AS before, lead(line_n) OVER o AS after FROM l WINDOW o AS (PARTITION BY doc_id ORDER BY line_n)) WHERE after IS NULL AND NOT soft_hyphen AND len(string_split_regex(text, '\s+')) <= 2 AND (length(text) <= 5 OR coalesce(before, false))",
+    "italic_runs": f"WITH {_LINES}, m AS (SELECT *, (length(text) - length(replace(text, '*', '')))::INTEGER AS marks FROM l), s AS (SELECT *, sum(marks) OVER (PARTITION BY doc_id ORDER BY line_n) AS total FROM m) SELECT doc_id, line_n, marks, (total - marks) % 2 = 1 AS open_before, total % 2 = 1 AS italic_after FROM s WHERE total > 0",
+    "sentences": f"WITH {_TOKENS}, s AS (SELECT *, (coalesce(sum(CASE WHEN text IN ('.', '...', '?', '!') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_n, tok_n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1)::BIGINT AS sent_id FROM t) SELECT doc_id, sent_id, count(*) AS n_tokens, min(line_n) AS first_line, max(line_n) AS last_line FROM s GROUP BY 1, 2",
+    "boundary_diagnosis": f"WITH {_BOUNDARIES} SELECT * FROM d",
+    "boundary_summary": f"WITH {_BOUNDARIES} SELECT result, count(*) AS n FROM d GROUP BY 1",
+    "clean_text": f"WITH {_LINES} SELECT doc_id, string_agg(text || CASE WHEN soft_hyphen THEN '¬' ELSE '' END, chr(10) ORDER BY line_n) AS text FROM l GROUP BY 1",
+    "author_resolution": f"WITH {_RESOLVED}",
+    "locator_units": f"WITH {_TOKENS}, u AS (SELECT t.*, v FROM t LEFT JOIN {_pairs('units', 'k', 'v')} ON k = lower(rtrim(text, '.'))), q AS (SELECT *, coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY doc_id, line_n ORDER BY tok_n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '?') AS unit FROM u) SELECT doc_id, line_n, tok_n, text AS number, unit FROM q WHERE kind = 'word' AND regexp_full_match(text, '[0-9]+')",
+    "corpus_stats": f"WITH {_LINES} SELECT doc_id, count(*) AS n_lines, sum(soft_hyphen::INTEGER)::BIGINT AS n_hyphens, sum(length(text))::BIGINT AS n_letters FROM l GROUP BY 1",
+    "duplicate_ids": "SELECT doc_id, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1 ORDER BY 1 LIMIT 5",
+}
