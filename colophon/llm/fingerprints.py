@@ -54,8 +54,9 @@ def word_values(w: T.Words, known: dict[int, int]) -> np.ndarray:
     return np.array(out, np.uint64)[inverse] if out else np.zeros(0, np.uint64)
 
 
-def sketches(docs: DataFrame, key: str = "doc_id", n: int = WORDS, fraction: float = FRACTION) -> DataFrame:
-    """(key, n_shingles, sketch) for each row; sketch: the distinct retained hashes, ascending."""
+def sketches(docs: DataFrame, key: str = "doc_id", n: int = WORDS, fraction: float = FRACTION, wanted: np.ndarray | None = None) -> DataFrame:
+    """(key, n_shingles, sketch) for each row; sketch: the distinct retained hashes, ascending. With ``wanted`` (of ``bitmap``)
+    only those that may be among its hashes."""
     bound, times = np.uint64(threshold(fraction)), np.array(factors(n), np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,7 +73,10 @@ def sketches(docs: DataFrame, key: str = "doc_id", n: int = WORDS, fraction: flo
                 words = np.diff(w.first)
                 count = np.where(words == 0, 0, np.maximum(words - (n - 1), 1))
                 doc = w.doc
-                ok = np.flatnonzero((place - w.first[:-1][doc] < count[doc]) & (h < bound))
+                retained = h < bound
+                if wanted is not None:
+                    retained &= wanted[(h >> np.uint64(42)).astype(np.int64)] >> (h >> np.uint64(36) & np.uint64(63)) & np.uint64(1) > 0
+                ok = np.flatnonzero((place - w.first[:-1][doc] < count[doc]) & retained)
                 order = np.lexsort((h[ok], doc[ok]))
                 d, g = doc[ok][order], h[ok][order]
                 new = np.r_[True, (d[1:] != d[:-1]) | (g[1:] != g[:-1])][: len(d)]
@@ -83,6 +87,14 @@ def sketches(docs: DataFrame, key: str = "doc_id", n: int = WORDS, fraction: flo
     return keyed(docs, key).mapInArrow(run, f"{key} long, n_shingles int, sketch array<long>")
 
 
+def bitmap(hashes: DataFrame) -> np.ndarray:
+    """2**24 bits, one for the first 24 bits of a hash, set where the column h has such a hash: 2 MB, however many there are."""
+    found = hashes.select(F.shiftright("h", 42).cast("int").alias("word"), F.expr("shiftleft(1L, cast(shiftright(h, 36) & 63 as int))").alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << 18, np.uint64)
+    out[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
 def merged(sketches: DataFrame, by: str) -> DataFrame:
     """(by, sketch): the union of the sketches of each group."""
     return sketches.select(by, F.explode("sketch").alias("h")).distinct().groupBy(by).agg(F.array_sort(F.collect_list("h")).alias("sketch"))
@@ -114,6 +126,33 @@ def fingerprints(docs: DataFrame, items: DataFrame, n: int = WORDS, fraction: fl
     return s.join(best, "doc_id", "left").select("doc_id", "n_shingles", F.array_join(F.col("sketch").cast("array<string>"), " ").alias("sketch"), "item_id", "item_containment")
 
 
+def passages(docs: DataFrame, items: DataFrame, n: int = WORDS, item_key: str = "item_id") -> DataFrame:
+    """(doc_id, item_id, shared, item_containment) for every document and row of ``items`` that share a shingle: counted over all their
+    distinct shingles, not over sketches, so that short items are found as well. Of the documents, only shingles that may be in an item are exchanged."""
+    y = sketches(items, item_key, n, 1.0).select(F.col(item_key).alias("item_id"), F.explode("sketch").alias("h")).distinct()
+    y = written(y.withColumn("n", F.count("*").over(Window.partitionBy("item_id"))), "items")
+    x = sketches(docs, "doc_id", n, 1.0, bitmap(y)).select("doc_id", F.explode("sketch").alias("h"))
+    shared = x.join(y, "h").groupBy("doc_id", "item_id", "n").agg(F.countDistinct("h").alias("shared"))
+    return shared.select("doc_id", "item_id", "shared", F.round(F.col("shared") / F.col("n"), 6).alias("item_containment"))
+
+
+def passages_sql(n: int = WORDS) -> str:
+    """passages() of documents and benchmark, for DuckDB: from the words themselves, without hashes."""
+    def shingles(table: str, key: str) -> str:
+        return f"""
+  SELECT DISTINCT id, array_to_string(w[i : i + {n - 1}], ' ') AS s
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - {n - 1}, 1) + 1)) AS i FROM (
+    SELECT {key} AS id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') AS w
+    FROM {table} WHERE {key} IS NOT NULL) WHERE len(w) > 0)"""
+
+    return f"""
+WITH d AS MATERIALIZED ({shingles("documents", "doc_id")}),
+b AS MATERIALIZED ({shingles("benchmark", "item_id")}),
+pairs AS (SELECT d.id AS doc_id, b.id AS item_id, count(*) AS shared FROM d JOIN b USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, shared, round(shared / n, 6) AS item_containment
+FROM pairs JOIN (SELECT id AS item_id, count(*) AS n FROM b GROUP BY 1) USING (item_id)"""
+
+
 def sql(n: int = WORDS, fraction: float = FRACTION) -> str:
     """fingerprints() of documents and benchmark, for DuckDB."""
     def sketch(table: str, key: str) -> str:

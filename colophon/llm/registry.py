@@ -37,6 +37,10 @@ def op6_threshold_sketches(spark, sf_dir):
     return fingerprints.fingerprints(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_benchmark_passages(spark, sf_dir):
+    return fingerprints.passages(documents(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+
+
 def op7_quality_scores(spark, sf_dir):
     docs = documents(spark, sf_dir)
     return quality.scores(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
@@ -61,12 +65,13 @@ QUERIES = {
     "op4_deleted_interpolation": op4_deleted_interpolation,
     "op5_toxic_clauses": op5_toxic_clauses,
     "op6_threshold_sketches": op6_threshold_sketches,
+    "op6_benchmark_passages": op6_benchmark_passages,
     "op7_quality_scores": op7_quality_scores,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op9_curve_packing": op9_curve_packing,
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE: dict[str, str] = {"op6_threshold_sketches": fingerprints.sql(), "op2_warc_revisits": warc.sql(), "op3_exact_top_k": topk.sql()}
+ORACLE: dict[str, str] = {"op6_threshold_sketches": fingerprints.sql(), "op6_benchmark_passages": fingerprints.passages_sql(), "op2_warc_revisits": warc.sql(), "op3_exact_top_k": topk.sql()}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -50,3 +50,22 @@ def test_edge_cases(spark):
     assert P.fingerprints(spark.createDataFrame([], SCHEMA), items).collect() == []
     with pytest.raises(ValueError):
         P.sketches(docs, fraction=0)
+
+
+def test_short_benchmark_passages_are_found(spark):
+    docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
+    got = P.passages(docs, items)
+    want = con.sql(P.passages_sql())
+    assert got.columns == want.columns
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want.fetchall()))
+
+    # every item verbatim in a document of its own, two in one, and a document of one item's words twice: recall is whole
+    rows = [(r.item_id, r.text) for r in items.collect()]
+    assert any(not plain(t) for _, t in rows)  # items that the fraction leaves without a hash
+    held = [(i, f"before it {t} after it", "x", 1, 1) for i, t in rows] + [(-1, f"{rows[0][1]} and {rows[1][1]}", "x", 1, 1), (-2, None, "x", 1, 1)]
+    found = {(r.doc_id, r.item_id) for r in P.passages(spark.createDataFrame(held, SCHEMA), items).collect() if r.item_containment == 1}
+    assert found >= {(i, i) for i, _ in rows} | {(-1, rows[0][0]), (-1, rows[1][0])}
+    assert P.passages(spark.createDataFrame([], SCHEMA), items).collect() == []
