@@ -21,8 +21,10 @@ occurrence.) copied_words: how many words from start_word on also stand at an ea
 first occurrence. Nothing is capped. Passages longer than the distance to the next barrier (an anchor whose hash is 0 modulo
 ``BARRIER``, about every 200 words) are listed as a chain of groups that overlap by LENGTH words or more.
 
-Where a stretch repeats with a period of 25 words or less, only its first and last anchor are used:
-of occurrences that overlap one another in that way, the ones between are not listed.
+Where a stretch repeats with a period of 25 words or less, only its first anchors, up to those that own the starts of its first period,
+and its last are used. What lies between repeats the first period: the stretch is listed as a group of its own,
+of two occurrences a period apart, so that copied_words covers all of it but the first period. Of the further groups of
+occurrences that overlap one another in that way, those between aren't listed.
 Words after an anchor are compared by 32 bits of their hash, anchors by 64 bits.
 
 Rows without doc_id are left out. Null, empty and short texts (under LENGTH words) have no repeats. Rows that
@@ -47,13 +49,13 @@ LENGTH, GRAM, BARRIER = 50, 25, 16
 U = np.uint64
 
 
-def anchors_of(w: T.Words, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(word number of the anchor, its hash, first and last start that it owns, whether starts before them were left out), in order."""
+def _all_anchors(w: T.Words, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word number of the anchor, its hash, first and last start that it owns), in order."""
     none = np.zeros(0, np.int64)
     g = T.gram_hashes(w.hash, gram)
     window = length - gram + 1
     if len(w.hash) < length:
-        return none, np.zeros(0, U), none, none, np.zeros(0, bool)
+        return none, np.zeros(0, U), none, none
     best, arg, span = g, np.arange(len(g)), 1
     while span < window:
         by = min(span, window - span)
@@ -62,17 +64,76 @@ def anchors_of(w: T.Words, length: int = LENGTH, gram: int = GRAM) -> tuple[np.n
         span += by
     starts = np.flatnonzero(w.last[: len(best)] >= np.arange(len(best)) + length)
     if len(starts) == 0:
-        return none, np.zeros(0, U), none, none, np.zeros(0, bool)
+        return none, np.zeros(0, U), none, none
     own = arg[starts]
     cut = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
     at, low, high = own[cut], starts[cut], starts[np.r_[cut[1:], len(starts)] - 1]
-    h = g[at]
-    again = np.r_[False, (h[1:] == h[:-1]) & (at[1:] - at[:-1] <= gram) & (w.last[at[1:]] == w.last[at[:-1]])]
-    keep = ~(again & np.r_[again[1:], False])
+    return at, g[at], low, high
+
+
+def _links(w: T.Words, at: np.ndarray, h: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each anchor but the last: whether it and the next lie in a stretch with the period of their distance; the distance; whether the stretch goes on from the link before."""
+    step = at[1:] - at[:-1]
+    link = (h[1:] == h[:-1]) & (step <= min(gram, length - gram + 1)) & (w.last[at[1:]] == w.last[at[:-1]])
+    return link, step, np.r_[False, link[1:] & link[:-1] & (step[1:] == step[:-1])][: len(link)]
+
+
+def anchors_of(w: T.Words, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(word number of the anchor, its hash, first and last start that it owns, whether starts before them were left out), in order.
+    Left out are starts in a periodic stretch, a period or more after its first word, whose passages end in it: ``stretches`` has those."""
+    at, h, low, high = _all_anchors(w, length, gram)
+    if len(at) == 0:
+        return at, h, low, high, np.zeros(0, bool)
+    link, step, on = _links(w, at, h, length, gram)
+    begin = np.maximum.accumulate(np.where(on, 0, np.arange(len(link)))) if len(link) else np.zeros(0, np.int64)
+    inside = np.flatnonzero(on)  # anchors with a link on both sides
+    keep = np.ones(len(at), bool)
+    keep[inside] = at[inside] - at[begin[inside]] <= length - gram + step[inside] - 1
     left_out = np.r_[False, ~keep[:-1]]
     return at[keep], h[keep], low[keep], high[keep], left_out[keep]
 
 
+def stretches(w: T.Words, length: int = LENGTH, gram: int = GRAM) -> list[tuple[int, int, int]]:
+    """(first word, end, period) of the longest stretches with a period of no more than ``gram`` words that hold two starts a period apart."""
+    at, h, _, _ = _all_anchors(w, length, gram)
+    if len(at) < 2:
+        return []
+    link, step, on = _links(w, at, h, length, gram)
+    if not link.any():
+        return []
+    doc, ends, out = w.doc, w.last, []
+    for a in np.flatnonzero(link & ~on).tolist():
+        z = a
+        while z + 1 < len(link) and on[z + 1]:
+            z += 1
+        k, s, e = int(step[a]), int(at[a]), int(at[z + 1]) + gram
+        first, last = int(w.first[doc[s]]), int(ends[s])
+        while s > first and w.hash[s - 1] == w.hash[s - 1 + k]:
+            s -= 1
+        while e < last and w.hash[e] == w.hash[e - k]:
+            e += 1
+        if e - s - k >= length:
+            out.append((s, e, k))
+    return out
+
+
+def _stretch_rows(length: int, gram: int):
+    """Result rows of periodic stretches: each is a group of two occurrences a period apart, which overlap."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for w in T.each_words(b.column(1), normal=False):
+                for s, e, k in stretches(w, length, gram):
+                    d = int(np.searchsorted(w.first, s, "right")) - 1
+                    doc, at, n = b.column(0)[w.lo + d].as_py(), s - int(w.first[d]), e - s - k
+                    group = xxhash.xxh64_intdigest(f"{doc} {at} {e - s} {k}") >> 1
+                    out += [(group, None, n, 2, doc, at, 0), (group, None, n, 2, doc, at + k, n)]
+            if out:
+                yield _batch(out)
+
+    return run
+
+
 def _anchor_rows(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -258,13 +319,15 @@ def repeats_at_anchor(anchor: int, rows: list[tuple], length: int = LENGTH, barr
     return out
 
 
-def _groups(length: int, barrier: int):
-    names = ["group_id", "parent_id", "n_words", "n_occurrences", "doc_id", "start_word", "copied_words"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+NAMES = ["group_id", "parent_id", "n_words", "n_occurrences", "doc_id", "start_word", "copied_words"]
+KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), KINDS)], NAMES)
 
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
+def _groups(length: int, barrier: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, now, ready = [], None, []
         for b in batches:
@@ -274,14 +337,14 @@ def _groups(length: int, barrier: int):
                     if len(held) > 1:
                         ready += repeats_at_anchor(now, held, length, barrier)
                         if len(ready) > 20_000:
-                            yield batch(ready)
+                            yield _batch(ready)
                             ready = []
                     held, now = [], anchor
                 held.append(tuple(r))
         if len(held) > 1:
             ready += repeats_at_anchor(now, held, length, barrier)
         if ready:
-            yield batch(ready)
+            yield _batch(ready)
 
     return run
 
@@ -303,11 +366,9 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, barrier: in
         .where(F.exists("marks", lambda x: x % 2 == 1))
     )
     suffixes = docs.join(marks, "doc_id").select("doc_id", "text", "marks").mapInArrow(_suffix_rows(length, gram, barrier), "anchor long, doc_id long, at int, t_low int, t_high int, left binary, right binary")
-    return (
-        suffixes.repartition("anchor")
-        .sortWithinPartitions("anchor")
-        .mapInArrow(_groups(length, barrier), "group_id long, parent_id long, n_words int, n_occurrences int, doc_id long, start_word int, copied_words int")
-    )
+    result = "group_id long, parent_id long, n_words int, n_occurrences int, doc_id long, start_word int, copied_words int"
+    groups = suffixes.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_groups(length, barrier), result)
+    return groups.unionByName(docs.mapInArrow(_stretch_rows(length, gram), result))
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:

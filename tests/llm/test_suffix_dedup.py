@@ -122,3 +122,23 @@ def test_documents_at_scale_of_the_small_table(spark):
             periodic.add(d)
     assert got <= want and len(got) > 0.85 * len(want)
     assert {x for x in got if x[0] not in periodic} == {x for x in want if x[0] not in periodic}
+
+
+@pytest.mark.parametrize("period", [1, 2, 7, 10, 25, 26])
+def test_periodic_stretches_are_covered_whole(spark, period):
+    rng = np.random.default_rng(period)
+    line = [f"p{k}" for k in range(period)]
+    fill = lambda n: [f"f{x}" for x in rng.integers(0, 10**9, n)]
+    cut = lambda a, n: (line * (n // period + 2))[a % period :][:n]
+    head, tail = fill(30), fill(30)
+    docs = [cut(0, 400), cut(0, 600), cut(0, 10000), fill(9) + cut(3, 70) + fill(9), head + cut(5, 300) + tail, head + cut(5, 120) + fill(3), fill(8) + cut(2, 90) + tail, cut(1, 55), head + cut(5, 90) + tail, head[5:] + cut(5, 27) + fill(3)]
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    rows = R.repeats(frame(spark, docs)).collect()
+    assert {(r.doc_id, r.start_word + k) for r in rows for k in range(r.copied_words)} == covered(docs, R.LENGTH)
+
+
+def test_coverage_of_the_small_table_is_whole(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {(r.doc_id, r.start_word + k) for r in R.repeats(docs).collect() for k in range(r.copied_words)}
+    want = covered([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], R.LENGTH)
+    assert got == want
