@@ -8,7 +8,7 @@ that agree in a content-defined anchor. So:
    (``GRAM`` words, LENGTH - GRAM + 1 runs). Equal passages have equal anchors. Anchors are about one in
    13 words. One shuffle by anchor hash finds those that recur, and those where the words before the starts they own differ:
    only there can a repeat begin that can't be extended to the left.
-2. For those anchors, the text from the anchor on (as far as it can recur) is sent to the anchor's group. There the suffixes are sorted, the
+2. For those anchors, the text from the anchor on (as far as it can recur, without a limit) is sent to the anchor's group. There the suffixes are sorted, the
    longest common prefixes taken, and a stack scan of them builds the tree of common-prefix
    intervals. An interval whose occurrences differ in the word to the left is a maximal repeat
    group; another passes its occurrences up.
@@ -18,8 +18,7 @@ its own rows and those of the groups below it (parent_id); each occurrence is li
 longest group that it belongs to, so that the result grows with the text, not with the
 square of a family of copies. (A group all of whose occurrences are in groups below has one row, for its first
 occurrence.) copied_words: how many words from start_word on also stand at an earlier (doc_id, start_word); 0 for a
-first occurrence. Nothing is capped. Passages longer than the distance to the next barrier (an anchor whose hash is 0 modulo
-``BARRIER``, about every 200 words) are listed as a chain of groups that overlap by LENGTH words or more.
+first occurrence. Nothing is capped.
 
 Where a stretch repeats with a period of 25 words or less, only its first anchors, up to those that own the starts of its first period,
 and its last are used. What lies between repeats the first period: the stretch is listed as a group of its own,
@@ -45,7 +44,8 @@ from pyspark.sql import functions as F
 from . import textops as T
 from .common import keyed, written
 
-LENGTH, GRAM, BARRIER = 50, 25, 16
+LENGTH, GRAM = 50, 25
+BARRIER = 1 << 62  # no barriers: groups are maximal; a smaller one bounds the text that is sent, and cuts groups into chains
 U = np.uint64
 
 

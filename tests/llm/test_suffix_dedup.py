@@ -142,3 +142,12 @@ def test_coverage_of_the_small_table_is_whole(spark):
     got = {(r.doc_id, r.start_word + k) for r in R.repeats(docs).collect() for k in range(r.copied_words)}
     want = covered([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()], R.LENGTH)
     assert got == want
+
+
+def test_groups_of_long_repeats_are_maximal_with_production_parameters(spark):
+    rng = np.random.default_rng(4)
+    new = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    long, other = new(5000), new(1200)
+    docs = [long, new(20) + long, long[700:3100] + new(40) + other, other + new(9) + long[2000:], new(300) + other[100:900] + new(5), other]
+    docs = [(i, " ".join(w)) for i, w in enumerate(docs)]
+    assert groups(R.repeats(frame(spark, docs)).collect(), docs) == brute(docs, R.LENGTH)
