@@ -37,15 +37,20 @@ def sentences(tokens: DataFrame) -> DataFrame:
     return d.groupBy("doc_id", "sent_id").agg(F.count("*").alias("n_tokens"), F.min("line_n").alias("first_line"), F.max("line_n").alias("last_line"))
 
 
-def boundaries(tokens: DataFrame, docs: DataFrame) -> DataFrame:
-    """(from_doc, to_doc, result, closes, first_word): whether the last sentence of a document goes on in the next. One row a document is exchanged for the order of all."""
+def boundaries(tokens: DataFrame, docs: DataFrame, lines: DataFrame | None = None) -> DataFrame:
+    """(from_doc, to_doc, result, closes, first_word): whether the last sentence of a document goes on in the next. One row a document is exchanged for the order of all.
+    With ``lines``, a document whose last line ends in a split word always goes on in the next that has a token."""
     place = F.struct("line_n", "tok_n")
     ends = tokens.groupBy("doc_id").agg(F.max_by("text", place).alias("last"), F.min_by("text", F.when(F.col("kind") == "word", place)).alias("first_word"))
     d = docs.select("doc_id").where("doc_id is not null").distinct().join(ends, "doc_id", "left")
+    split = F.lit(False)
+    if lines is not None:
+        d = d.join(lines.groupBy("doc_id").agg(F.max_by("soft_hyphen", "line_n").alias("split")), "doc_id", "left")
+        split = F.coalesce("split", split)
     order = Window.orderBy("doc_id")
-    d = d.select(F.col("doc_id").alias("from_doc"), F.lead("doc_id").over(order).alias("to_doc"), F.col("last").isin(".", "?", "!").alias("closes"), "last", F.lead("first_word").over(order).alias("first_word"))
+    d = d.select(F.col("doc_id").alias("from_doc"), F.lead("doc_id").over(order).alias("to_doc"), F.col("last").isin(".", "?", "!").alias("closes"), "last", F.lead("first_word").over(order).alias("first_word"), (split & F.col("last").isNotNull() & F.lead("last").over(order).isNotNull()).alias("split"))
     small = F.coalesce(F.col("first_word").rlike(r"^\p{Ll}"), F.lit(False))
-    result = F.when(F.col("last").isNull() | F.col("first_word").isNull(), "uncertain").when(~F.col("closes") & small, "continues").when(F.col("closes") & ~small, "new").otherwise("uncertain")
+    result = F.when(F.col("split"), "continues").when(F.col("last").isNull() | F.col("first_word").isNull(), "uncertain").when(~F.col("closes") & small, "continues").when(F.col("closes") & ~small, "new").otherwise("uncertain")
     return d.where("to_doc is not null").select("from_doc", "to_doc", result.alias("result"), "closes", "first_word")
 
 

@@ -65,6 +65,7 @@ QUERIES = {
     "sentences": lambda s, d: structure.sentences(_tokens(s, d)),
     "boundary_diagnosis": lambda s, d: structure.boundaries(_tokens(s, d), _docs(s, d)),
     "boundary_summary": boundary_summary,
+    "boundary_split_words": lambda s, d: structure.boundaries(_tokens(s, d), _docs(s, d), _lines(s, d)),
     "clean_text": lambda s, d: structure.clean_text(_lines(s, d)),
     "author_resolution": lambda s, d: authority.resolved(_forms(s, d)),
     "locator_units": lambda s, d: authority.locators(_tokens(s, d)),
@@ -133,6 +134,9 @@ ORACLE = {
     "sentences": f"WITH {_TOKENS}, s AS (SELECT *, (coalesce(sum(CASE WHEN text IN ('.', '...', '?', '!') THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY line_n, tok_n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1)::BIGINT AS sent_id FROM t) SELECT doc_id, sent_id, count(*) AS n_tokens, min(line_n) AS first_line, max(line_n) AS last_line FROM s GROUP BY 1, 2",
     "boundary_diagnosis": f"WITH {_BOUNDARIES} SELECT * FROM d",
     "boundary_summary": f"WITH {_BOUNDARIES} SELECT result, count(*) AS n FROM d GROUP BY 1",
+    "boundary_split_words": f"""WITH {_BOUNDARIES},
+h AS (SELECT doc_id AS from_doc, arg_max(soft_hyphen, line_n) AS split FROM l GROUP BY 1), k AS (SELECT DISTINCT doc_id FROM t)
+SELECT from_doc, to_doc, CASE WHEN coalesce(split, false) AND from_doc IN (FROM k) AND to_doc IN (FROM k) THEN 'continues' ELSE result END AS result, closes, first_word FROM d LEFT JOIN h USING (from_doc)""",
     "clean_text": f"WITH {_LINES} SELECT doc_id, string_agg(text || CASE WHEN soft_hyphen THEN '¬' ELSE '' END, chr(10) ORDER BY line_n) AS text FROM l GROUP BY 1",
     "author_resolution": f"WITH {_RESOLVED}",
     "locator_units": f"WITH {_TOKENS}, u AS (SELECT t.*, v FROM t LEFT JOIN {_pairs('units', 'k', 'v')} ON k = lower(rtrim(text, '.'))), q AS (SELECT *, coalesce(last_value(v IGNORE NULLS) OVER (PARTITION BY doc_id, line_n ORDER BY tok_n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '?') AS unit FROM u) SELECT doc_id, line_n, tok_n, text AS number, unit FROM q WHERE kind = 'word' AND regexp_full_match(text, '[0-9]+')",

@@ -1,6 +1,8 @@
 import duckdb
 import pytest
 
+from colophon.operators import structure
+from colophon.operators import tokens as T
 from colophon.plans import catalogue as C
 from colophon.sources.lines import lines
 
@@ -21,3 +23,9 @@ def test_against_sql(spark, name):
 def test_soft_hyphens_nulls_and_blank_lines(spark):
     docs = spark.createDataFrame([(1, "a ¬\n\n b"), (2, None), (3, "")], "doc_id long, text string")
     assert sorted(map(tuple, lines(docs).collect())) == [(1, 1, "a", True), (1, 3, "b", False)]
+
+
+def test_a_split_word_goes_on_in_the_next_document(spark):
+    docs = spark.createDataFrame([(1, "pretium in con¬"), (2, "Deus est con¬"), (3, "63 est."), (4, "Aliud con¬"), (5, None)], "doc_id long, text string")
+    found = structure.boundaries(T.tokens(lines(docs)), docs, lines(docs)).collect()
+    assert {r.from_doc: r.result for r in found} == {1: "continues", 2: "continues", 3: "new", 4: "uncertain"}
