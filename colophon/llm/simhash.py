@@ -90,11 +90,10 @@ def table_keys(sig: np.ndarray, bits: int = BITS, tables: int = TABLES) -> np.nd
 
 
 def _rotated(key: np.ndarray, block: int, bits: int, budget: int) -> np.ndarray:
-    """The key with its block first (in the highest bits)."""
-    size = bits // (budget + 1)
-    by = bits - (block + 1) * size
+    """The key turned so that its block stands first (in the highest bits)."""
+    by = block * (bits // (budget + 1))
     mask = U((1 << bits) - 1)
-    return ((key << U(bits - by)) | (key >> U(by))) & mask if by else key
+    return ((key << U(by)) | (key >> U(bits - by))) & mask if by else key
 
 
 def _routes(bits: int, tables: int, budget: int):
