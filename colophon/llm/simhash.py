@@ -10,14 +10,19 @@ each key is sent to one sub-trie per block, where the block comes first and must
 a pair counts only in the first block in which it agrees. A candidate is a near-duplicate if no
 more than ``TOTAL`` of the whole 256-bit signature differ; unrelated documents differ in about 120.
 
-Groups are the connected components of near-duplicates. In each sub-trie the pairs found are
-reduced to a spanning forest, so that a group of any size costs rows in proportion to its
+Every pair of different signatures that is a candidate in some table is a link, counted once: in the first table, and there in the
+first block, in which it is one. So links are certain for pairs of at most TABLES * (BUDGET + 1) - 1 = 27 differing bits; between that and
+``TOTAL`` a pair needs one table within the budget (README: measured shares). Classes are the connected components of links and equal signatures. In each sub-trie
+the links found are reduced to a number for each node and a spanning forest, so that a class of any size costs rows in proportion to its
 members; nothing is capped.
 
+Result: one row for each document of a class of two or more: (doc_id, class_id, duplicate_of, n_copies, n_links). class_id is the least doc_id of the class; duplicate_of
+is the same, but null for the one document that is kept; n_copies: other documents with the same signature; n_links: other signatures linked with this one.
+A document without a row is a class of its own.
+
 Rows without doc_id are left out. A null text counts as empty; documents without words are
-duplicates of nothing. Rows that repeat a doc_id count as one document. Equal signatures
-(exact copies among them) are collapsed before the join. The document kept of a group is the
-one with the smallest doc_id. An empty table gives an empty result.
+duplicates of nothing. Rows equal in doc_id and text are one document; rows that repeat a doc_id with another text are documents of their own.
+The document kept of a class has the least (doc_id, hash of its text). An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ from .common import keyed, written
 
 BITS, TABLES, BUDGET, TOTAL = 36, 7, 3, 42
 U = np.uint64
-SIGNATURE = "doc_id long, s0 long, s1 long, s2 long, s3 long, n_words int"
+SIGNATURE = "doc_id long, th long, s0 long, s1 long, s2 long, s3 long, n_words int"
 
 
 def signatures_of(words: T.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -69,18 +74,17 @@ def signatures_of(words: T.Words) -> tuple[np.ndarray, np.ndarray]:
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        ids = b.column(0)
         for w in T.each_words(b.column(1)):
             sig, n = signatures_of(w)
             sig = sig.view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [ids[w.lo : w.hi].cast(pa.int64()), *(pa.array(sig[:, j]) for j in range(4)), pa.array(n, pa.int32())], ["doc_id", "s0", "s1", "s2", "s3", "n_words"]
+                [*(b.column(j)[w.lo : w.hi] for j in (0, 2)), *(pa.array(sig[:, j]) for j in range(4)), pa.array(n, pa.int32())], ["doc_id", "th", "s0", "s1", "s2", "s3", "n_words"]
             )
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, s0 … s3, n_words) for each row of docs."""
-    return keyed(docs).mapInArrow(_signatures, SIGNATURE)
+    """(doc_id, th, s0 … s3, n_words) for each row of docs; th: a hash of the text, which tells rows of the same doc_id apart."""
+    return keyed(docs).withColumn("th", F.xxhash64("text")).mapInArrow(_signatures, SIGNATURE)
 
 
 def table_keys(sig: np.ndarray, bits: int = BITS, tables: int = TABLES) -> np.ndarray:
@@ -109,11 +113,32 @@ def _routes(bits: int, tables: int, budget: int):
                 for k in range(budget + 1):
                     r = _rotated(keys[:, t], k, bits, budget)
                     route = (U((t * (budget + 1) + k) << size) | (r >> U(bits - size))).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(route), *b.columns[:5]], ["route", "doc_id", "s0", "s1", "s2", "s3"])
+                    yield pa.RecordBatch.from_arrays([pa.array(route), *b.columns[:5]], ["route", "node", "s0", "s1", "s2", "s3"])
 
     return run
 
 
+def _leaf_pairs(p0: np.ndarray, p1: np.ndarray, q0: np.ndarray, q1: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All (i, j) of the ranges p × q, in portions of about ``most``."""
+    n = (p1 - p0) * (q1 - q0)
+    for k in np.flatnonzero(n > most).tolist():
+        width = int(q1[k] - q0[k])
+        step = max(1, most // width)
+        for lo in range(int(p0[k]), int(p1[k]), step):
+            hi = min(int(p1[k]), lo + step)
+            yield np.repeat(np.arange(lo, hi), width), np.tile(np.arange(int(q0[k]), int(q1[k])), hi - lo)
+    some = n <= most
+    p0, q0, q1, n = p0[some], q0[some], q1[some], n[some]
+    ends, a = np.cumsum(n), 0
+    while a < len(n):
+        z = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, "right")))
+        m = n[a:z]
+        k = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m, m)
+        width = np.repeat(q1[a:z] - q0[a:z], m)
+        yield np.repeat(p0[a:z], m) + k // width, np.repeat(q0[a:z], m) + k % width
+        a = z
+
+
 def trie_pairs(key: np.ndarray, done: int, bits: int, budget: int, most: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs (i, j), i < j, of positions in the sorted array key that have the highest ``done``
     bits in common and differ in at most ``budget`` of the rest. Nodes of the trie are ranges of
@@ -134,15 +159,11 @@ def trie_pairs(key: np.ndarray, done: int, bits: int, budget: int, most: int = 1
             continue
         small = ((a1 - a0) * (b1 - b0) <= 64) | (level == bits)
         if small.any():
-            p0, p1, q0, q1 = a0[small], a1[small], b0[small], b1[small]
-            n = (p1 - p0) * (q1 - q0)
-            k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-            width = np.repeat(q1 - q0, n)
-            i, j = np.repeat(p0, n) + k // width, np.repeat(q0, n) + k % width
-            ok = i < j
-            i, j = i[ok], j[ok]
-            ok = np.bitwise_count(key[i] ^ key[j]) <= budget
-            yield i[ok], j[ok]
+            for i, j in _leaf_pairs(a0[small], a1[small], b0[small], b1[small], 4 * most):
+                ok = i < j
+                i, j = i[ok], j[ok]
+                ok = np.bitwise_count(key[i] ^ key[j]) <= budget
+                yield i[ok], j[ok]
             big = ~small
             a0, a1, b0, b1, diff = a0[big], a1[big], b0[big], b1[big], diff[big]
             if len(a0) == 0:
@@ -181,34 +202,43 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return label
 
 
+def first_route(keys: np.ndarray, i: np.ndarray, j: np.ndarray, table: int, block: int, bits: int, budget: int) -> np.ndarray:
+    """Which of the candidates (i, j) of a table and block are none in an earlier table, nor agree in an earlier block of this one."""
+    first = np.ones(len(i), bool)
+    for t in range(table):
+        first &= np.bitwise_count(keys[i, t] ^ keys[j, t]) > budget
+    size, x = bits // (budget + 1), keys[i, table] ^ keys[j, table]
+    for k in range(block):
+        first &= (x >> U(bits - (k + 1) * size)) & U((1 << size) - 1) != 0
+    return first
+
+
 def _edges(bits: int, tables: int, budget: int, total: int):
     size = bits // (budget + 1)
 
     def join(group: pa.Table) -> pa.RecordBatch:
+        """(node, the least node it is connected with here, its links found here) for each node with links."""
         route = int(group.column("route")[0].as_py())
         t, k = divmod(route >> size, budget + 1)
-        ids = group.column("doc_id").to_numpy()
+        ids = group.column("node").to_numpy()
         sig = np.stack([group.column(f"s{j}").to_numpy() for j in range(4)], axis=1).view(U)
-        key = table_keys(sig, bits, tables)[:, t]
-        turned = _rotated(key, k, bits, budget)
+        keys = table_keys(sig, bits, tables)
+        turned = _rotated(keys[:, t], k, bits, budget)
         order = np.lexsort((ids, turned))
-        ids, sig, key, turned = ids[order], sig[order], key[order], turned[order]
-        label = np.arange(len(ids))
+        ids, sig, keys, turned = ids[order], sig[order], keys[order], turned[order]
+        label, links = np.arange(len(ids)), np.zeros(len(ids), np.int64)
         for i, j in trie_pairs(turned, size, bits, budget):
             ok = np.bitwise_count(sig[i] ^ sig[j]).sum(axis=1) <= total
             i, j = i[ok], j[ok]
-            if k:
-                x, first = key[i] ^ key[j], np.ones(len(i), bool)
-                for earlier in range(k):
-                    first &= (x >> U(bits - (earlier + 1) * size)) & U((1 << size) - 1) != 0
-                i, j = i[first], j[first]
+            ok = first_route(keys, i, j, t, k, bits, budget)
+            i, j = i[ok], j[ok]
             if len(i):
+                links += np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
                 label = _merge(label, i, j)
         least = np.full(len(ids), np.iinfo(np.int64).max)
         np.minimum.at(least, label, ids)
-        root = least[label]
-        ok = root != ids
-        return pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array(root[ok])], ["a", "b"])
+        ok = links > 0
+        return pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array(least[label][ok]), pa.array(links[ok])], ["a", "b", "links"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -255,14 +285,37 @@ def components(edges: DataFrame) -> DataFrame:
         before = tuple(now)
 
 
-def near_duplicates(docs: DataFrame, bits: int = BITS, tables: int = TABLES, budget: int = BUDGET, total: int = TOTAL) -> DataFrame:
-    """(doc_id, duplicate_of) for each document that is not the one kept of its group."""
+def classes(docs: DataFrame, bits: int = BITS, tables: int = TABLES, budget: int = BUDGET, total: int = TOTAL) -> DataFrame:
+    """(doc_id, th, class_id, duplicate_of, n_copies, n_links) for each document of a class of two or more."""
     if bits % (budget + 1) or bits * tables > 256 or bits > 48:
         raise ValueError("bits must be a multiple of budget + 1, at most 48, and bits * tables at most 256")
-    sig = written(signatures(docs).where("n_words > 0"), "signatures")
     s = ["s0", "s1", "s2", "s3"]
-    kept = sig.groupBy(*s).agg(F.min("doc_id").alias("least"))
-    copies = sig.join(kept, s).where("doc_id <> least").select(F.col("doc_id").alias("a"), F.col("least").alias("b"))
-    routed = kept.select(F.col("least").alias("doc_id"), *s).mapInArrow(_routes(bits, tables, budget), "route long, doc_id long, s0 long, s1 long, s2 long, s3 long")
-    near = routed.repartition("route").sortWithinPartitions("route").mapInArrow(_edges(bits, tables, budget, total), "a long, b long")
-    return components(near.union(copies)).select("doc_id", F.col("root").alias("duplicate_of")).where("doc_id <> duplicate_of")
+    sig = written(signatures(docs).where("n_words > 0").select("doc_id", "th", *s).distinct(), "signatures")
+    # Nodes are distinct signatures. They are numbered in a table that is written once, so that the numbers stay.
+    nodes = sig.groupBy(*s).agg(F.min(F.struct("doc_id", "th")).alias("least"), F.count("*").alias("n"))
+    nodes = written(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    routed = nodes.select("node", *s).mapInArrow(_routes(bits, tables, budget), "route long, node long, s0 long, s1 long, s2 long, s3 long")
+    near = written(routed.repartition("route").sortWithinPartitions("route").mapInArrow(_edges(bits, tables, budget, total), "a long, b long, links long"), "links")
+    roots = components(near.select("a", "b")).withColumnRenamed("doc_id", "node")
+    links = near.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    linked = nodes.join(links.join(roots, "node", "left"), "node", "left").where("links is not null or n > 1")
+    linked = written(linked.select("node", *s, "least", "n", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links")), "linked")
+    kept = linked.groupBy("root").agg(F.min("least").alias("kept"))
+    members = sig.join(linked.join(kept, "root").select(*s, "kept", "n", "links"), s)
+    is_kept = (F.col("doc_id") == F.col("kept.doc_id")) & (F.col("th") == F.col("kept.th"))
+    return members.select("doc_id", "th", F.col("kept.doc_id").alias("class_id"), F.when(~is_kept, F.col("kept.doc_id")).alias("duplicate_of"), (F.col("n") - 1).alias("n_copies"), F.col("links").alias("n_links"))
+
+
+def near_duplicates(docs: DataFrame, bits: int = BITS, tables: int = TABLES, budget: int = BUDGET, total: int = TOTAL) -> DataFrame:
+    """(doc_id, class_id, duplicate_of, n_copies, n_links) for each document of a class of two or more."""
+    return classes(docs, bits, tables, budget, total).drop("th")
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """docs, with all their columns, without the documents that duplicate the one kept of their class. Of rows equal in doc_id and text one stays. Rows without doc_id stay as they are."""
+    names = docs.columns
+    gone = classes(docs).where("duplicate_of is not null").select("doc_id", "th")
+    row = F.struct(*(F.col(f"`{c}`") for c in names)).alias("row")  # so that no other column clashes
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), row)
+    rows = rows.join(gone, ["doc_id", "th"], "left_anti").dropDuplicates(["doc_id", "th"])
+    return rows.select("row.*").union(docs.where("doc_id is null"))

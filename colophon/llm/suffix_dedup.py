@@ -13,11 +13,11 @@ that agree in a content-defined anchor. So:
    intervals. An interval whose occurrences differ in the word to the left is a maximal repeat
    group; another passes its occurrences up.
 
-Result: (group_id, parent_id, n_words, n_occurrences, doc_id, start_word, copied_words). A group's occurrences are
+Result: (group_id, parent_id, n_words, n_occurrences, doc_id, start_word, copied_words, text_hash). A group's occurrences are
 its own rows and those of the groups below it (parent_id); each occurrence is listed once, in the
 longest group that it belongs to, so that the result grows with the text, not with the
 square of a family of copies. (A group all of whose occurrences are in groups below has one row, for its first
-occurrence.) copied_words: how many words from start_word on also stand at an earlier (doc_id, start_word); 0 for a
+occurrence.) copied_words: how many words from start_word on also stand at an earlier (doc_id, text_hash, start_word); 0 for a
 first occurrence. Nothing is capped.
 
 Where a stretch repeats with a period of 25 words or less, only its first anchors, up to those that own the starts of its first period,
@@ -26,9 +26,9 @@ of two occurrences a period apart, so that copied_words covers all of it but the
 occurrences that overlap one another in that way, those between aren't listed.
 Words after an anchor are compared by 32 bits of their hash, anchors by 64 bits.
 
-Rows without doc_id are left out. Null, empty and short texts (under LENGTH words) have no repeats. Rows that
-repeat a doc_id count as one document. Ties go to the smaller (doc_id, start_word). An empty table
-gives an empty result. Columns besides doc_id and text don't matter.
+Rows without doc_id are left out. Null, empty and short texts (under LENGTH words) have no repeats. Rows equal in
+doc_id and text count as one document; rows that repeat a doc_id with another text are documents of their own, told apart by text_hash. Ties go to the smaller
+(doc_id, text_hash, start_word). An empty table gives an empty result. Columns besides doc_id and text don't matter.
 """
 
 from __future__ import annotations
@@ -125,9 +125,9 @@ def _stretch_rows(length: int, gram: int):
             for w in T.each_words(b.column(1), normal=False):
                 for s, e, k in stretches(w, length, gram):
                     d = int(np.searchsorted(w.first, s, "right")) - 1
-                    doc, at, n = b.column(0)[w.lo + d].as_py(), s - int(w.first[d]), e - s - k
-                    group = xxhash.xxh64_intdigest(f"{doc} {at} {e - s} {k}") >> 1
-                    out += [(group, None, n, 2, doc, at, 0), (group, None, n, 2, doc, at + k, n)]
+                    doc, th, at, n = b.column(0)[w.lo + d].as_py(), b.column(2)[w.lo + d].as_py(), s - int(w.first[d]), e - s - k
+                    group = xxhash.xxh64_intdigest(f"{doc} {th} {at} {e - s} {k}") >> 1
+                    out += [(group, None, n, 2, doc, at, 0, th), (group, None, n, 2, doc, at + k, n, th)]
             if out:
                 yield _batch(out)
 
@@ -142,16 +142,16 @@ def _anchor_rows(length: int, gram: int):
                 if len(at) == 0:
                     continue
                 doc = w.doc
-                ids = b.column(0)[w.lo : w.hi].to_numpy()[doc[at]]
+                ids, texts = (b.column(c)[w.lo : w.hi].to_numpy()[doc[at]] for c in (0, 2))
                 first = w.first[:-1][doc[at]]
                 s = np.zeros(len(w.hash) + 1, U)
                 np.cumsum((w.hash | U(1)) * T._G.upto(len(w.hash)), out=s[1:])
                 begin = np.maximum(low - 1, first)
                 left = T.mix((s[at] - s[begin]) * T._GI.upto(len(w.hash))[begin] + (at - low).astype(U))
                 edge = (low == first) | left_out
-                alone = T.mix(ids.astype(np.int64).view(U) * U(0x9E3779B97F4A7C15) + (at - first).astype(U))
+                alone = T.mix(T.mix(ids.astype(np.int64).view(U) * U(0x9E3779B97F4A7C15) + texts.view(U)) + (at - first).astype(U))
                 left = np.where(edge, alone, left)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(left.view(np.int64)), pa.array(ids), pa.array((at - first).astype(np.int32))], ["anchor", "before", "doc_id", "at"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(left.view(np.int64)), pa.array(ids), pa.array(texts), pa.array((at - first).astype(np.int32))], ["anchor", "before", "doc_id", "th", "at"])
 
     return run
 
@@ -159,7 +159,7 @@ def _anchor_rows(length: int, gram: int):
 def _suffix_rows(length: int, gram: int, barrier: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            marks = b.column(2)
+            marks = b.column(3)
             values, offsets = marks.flatten().to_numpy(), np.r_[0, np.cumsum(np.diff(marks.offsets.to_numpy()))]
             for w in T.each_words(b.column(1), normal=False):
                 at, h, low, high, left_out = anchors_of(w, length, gram)
@@ -167,7 +167,7 @@ def _suffix_rows(length: int, gram: int, barrier: int):
                     continue
                 coded = (w.hash >> U(32)).astype(">u4").tobytes()
                 bounds = np.searchsorted(at, w.first)
-                out: list[list] = [[] for _ in range(7)]
+                out: list[list] = [[] for _ in range(8)]
                 for d in range(w.hi - w.lo):
                     lo, hi = bounds[d], bounds[d + 1]
                     if lo == hi:
@@ -192,12 +192,12 @@ def _suffix_rows(length: int, gram: int, barrier: int):
                         a, lw = int(place_at[k]), int(low[lo + k])
                         first = lw if left_out[lo + k] else max(lw - 1, base)
                         back = np.frombuffer(coded[4 * first : 4 * a], ">u4")[::-1].tobytes()
-                        for column, x in zip(out, (int(h[lo + k].view(np.int64)), b.column(0)[w.lo + d].as_py(), a - base, a - int(high[lo + k]), a - lw, back, coded[4 * a : 4 * int(ends[k])])):
+                        for column, x in zip(out, (int(h[lo + k].view(np.int64)), b.column(0)[w.lo + d].as_py(), b.column(2)[w.lo + d].as_py(), a - base, a - int(high[lo + k]), a - lw, back, coded[4 * a : 4 * int(ends[k])])):
                             column.append(x)
                 if out[0]:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), *(pa.array(out[j], pa.int32()) for j in (2, 3, 4)), pa.array(out[5], pa.binary()), pa.array(out[6], pa.binary())],
-                        ["anchor", "doc_id", "at", "t_low", "t_high", "left", "right"],
+                        [*(pa.array(out[j], pa.int64()) for j in (0, 1, 2)), *(pa.array(out[j], pa.int32()) for j in (3, 4, 5)), pa.array(out[6], pa.binary()), pa.array(out[7], pa.binary())],
+                        ["anchor", "doc_id", "th", "at", "t_low", "t_high", "left", "right"],
                     )
 
     return run
@@ -271,7 +271,7 @@ def interval_tree(lcp: list[int], before: list, first: list, least: int) -> tupl
 
 
 def repeats_at_anchor(anchor: int, rows: list[tuple], length: int = LENGTH, barrier: int = BARRIER) -> list[tuple]:
-    """Result rows from one anchor's suffixes: rows are (doc_id, at, t_low, t_high, left, right)."""
+    """Result rows from one anchor's suffixes: rows are ((doc_id, text_hash), at, t_low, t_high, left, right)."""
     rows = sorted({(r[0], r[1]): r for r in rows}.values(), key=lambda r: (r[5], r[0], r[1]))
     n = len(rows)
     if n < 2:
@@ -309,7 +309,7 @@ def repeats_at_anchor(anchor: int, rows: list[tuple], length: int = LENGTH, barr
             def row(g: int, m: int, had: int) -> tuple:
                 size, count, _ = groups[g]
                 r = rows[members[m]]
-                return ids[g], ids[above[g]] if g in above else None, t + size, count, r[0], r[1] - t, had and t + had
+                return ids[g], ids[above[g]] if g in above else None, t + size, count, r[0][0], r[1] - t, had and t + had, r[0][1]
 
             for m, g in enumerate(of):
                 if g >= 0:
@@ -319,8 +319,8 @@ def repeats_at_anchor(anchor: int, rows: list[tuple], length: int = LENGTH, barr
     return out
 
 
-NAMES = ["group_id", "parent_id", "n_words", "n_occurrences", "doc_id", "start_word", "copied_words"]
-KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+NAMES = ["group_id", "parent_id", "n_words", "n_occurrences", "doc_id", "start_word", "copied_words", "text_hash"]
+KINDS = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -332,7 +332,7 @@ def _groups(length: int, barrier: int):
         held, now, ready = [], None, []
         for b in batches:
             columns = [c.to_pylist() for c in b.columns]
-            for anchor, *r in zip(*columns):
+            for anchor, doc, th, *r in zip(*columns):
                 if anchor != now:
                     if len(held) > 1:
                         ready += repeats_at_anchor(now, held, length, barrier)
@@ -340,7 +340,7 @@ def _groups(length: int, barrier: int):
                             yield _batch(ready)
                             ready = []
                     held, now = [], anchor
-                held.append(tuple(r))
+                held.append(((doc, th), *r))
         if len(held) > 1:
             ready += repeats_at_anchor(now, held, length, barrier)
         if ready:
@@ -353,32 +353,35 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, barrier: in
     """Maximal repeats of docs (doc_id, text); see the module for the result."""
     if not 0 < gram <= length:
         raise ValueError("gram must be positive, and length no less")
-    docs = keyed(docs)
+    docs = keyed(docs).withColumn("th", F.xxhash64("text"))
     by_anchor = Window.partitionBy("anchor")
-    anchors = docs.mapInArrow(_anchor_rows(length, gram), "anchor long, before long, doc_id long, at int")
+    anchors = docs.mapInArrow(_anchor_rows(length, gram), "anchor long, before long, doc_id long, th long, at int")
     marks = (
         anchors.withColumn("n", F.count("*").over(by_anchor))
         .withColumn("low", F.min("before").over(by_anchor))
         .withColumn("high", F.max("before").over(by_anchor))
         .where("n > 1")
-        .groupBy("doc_id")
+        .groupBy("doc_id", "th")
         .agg(F.collect_list(F.col("at") * 2 + F.when((F.col("low") < F.col("high")) | (F.pmod("anchor", F.lit(barrier)) == 0), 1).otherwise(0)).alias("marks"))
         .where(F.exists("marks", lambda x: x % 2 == 1))
     )
-    suffixes = docs.join(marks, "doc_id").select("doc_id", "text", "marks").mapInArrow(_suffix_rows(length, gram, barrier), "anchor long, doc_id long, at int, t_low int, t_high int, left binary, right binary")
-    result = "group_id long, parent_id long, n_words int, n_occurrences int, doc_id long, start_word int, copied_words int"
+    suffixes = docs.join(marks, ["doc_id", "th"]).select("doc_id", "text", "th", "marks").mapInArrow(_suffix_rows(length, gram, barrier), "anchor long, doc_id long, th long, at int, t_low int, t_high int, left binary, right binary")
+    result = "group_id long, parent_id long, n_words int, n_occurrences int, doc_id long, start_word int, copied_words int, text_hash long"
     groups = suffixes.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_groups(length, barrier), result)
     return groups.unionByName(docs.mapInArrow(_stretch_rows(length, gram), result))
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs, with all their columns, without the passages that also stand earlier (in another document, or in the same one); n_chars is set
-    anew where it exists. Documents of which nothing remains go. White space around a passage that goes is reduced to one space. Rows without doc_id stay as they are."""
-    found = repeats(docs, length).where("copied_words > 0").groupBy("doc_id").agg(F.collect_list(F.struct("start_word", "copied_words")).alias("_cuts"))
-    found = written(found.select(F.col("doc_id").alias("_id"), "_cuts"), "cuts")
-    joined = docs.join(found, F.col("doc_id").cast("long") == F.col("_id"), "left").drop("_id")
-    at, names = joined.columns.index("text"), docs.columns
-    chars = names.index("n_chars") if "n_chars" in names else None
+    anew where it exists. Documents of which nothing remains go. White space around a passage that goes is reduced to one space. Rows without doc_id stay as they are, and
+    rows equal in doc_id and text are cut alike. What is cut from a row is what was found in its own text."""
+    found = repeats(docs, length).where("copied_words > 0").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start_word", "copied_words")).alias("cuts"))
+    found = written(found, "cuts")
+    names = docs.columns
+    row = F.struct(*(F.col(f"`{c}`") for c in names)).alias("row")  # so that no other column clashes
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), row)
+    have = rows.where("doc_id is not null").join(found, ["doc_id", "text_hash"], "left").select("row.*", F.col("cuts").alias("cuts of the row"))
+    at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -413,4 +416,4 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             stays[[i for i, t in new.items() if not t]] = False
             yield pa.RecordBatch.from_arrays(columns, names).filter(pa.array(stays))
 
-    return joined.mapInArrow(run, docs.schema)
+    return have.mapInArrow(run, docs.schema).union(docs.where("doc_id is null"))

@@ -35,25 +35,61 @@ def test_groups_and_edge_cases(spark):
     near = long[:100] + ["changed"] + long[101:]
     other = words(rng, 300)
     texts = [(1, " ".join(long)), (2, " ".join(near)), (3, " ".join(other)), (4, " ".join(other)), (4, " ".join(other)), (5, None), (6, ""), (7, "?!"), (None, " ".join(long)), (8, " ".join(words(rng, 20000)))]
-    got = {tuple(r) for r in S.near_duplicates(spark.createDataFrame(rows(texts), SCHEMA)).collect()}
-    assert got == {(2, 1), (4, 3)}
-    assert S.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+    texts += [(4, " ".join(words(rng, 200))), (9, " ".join(near))]
+    docs = spark.createDataFrame(rows(texts), SCHEMA)
+    got = S.near_duplicates(docs)
+    assert got.columns == ["doc_id", "class_id", "duplicate_of", "n_copies", "n_links"]
+    assert {tuple(r) for r in got.collect()} == {(1, 1, None, 0, 1), (2, 1, 1, 1, 1), (9, 1, 1, 1, 1), (3, 3, None, 1, 0), (4, 3, 3, 1, 0)}
+    kept = S.without_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, len(r.text or "") > 10) for r in kept.collect()) == [(0, True), (1, True), (3, True), (4, True), (5, False), (6, False), (7, False), (8, True)]
+    none = spark.createDataFrame([], SCHEMA)
+    assert S.near_duplicates(none).collect() == [] and S.without_near_duplicates(none).collect() == []
     with pytest.raises(ValueError):
         S.near_duplicates(spark.createDataFrame([], SCHEMA), bits=35)
 
 
-def test_recall_against_brute_force(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    sig = S.signatures(docs).where("n_words > 0").toPandas().sort_values("doc_id")
+def test_each_route_puts_its_block_first_and_every_pair_has_one():
+    rng = np.random.default_rng(6)
+    key = rng.integers(0, 1 << 36, 20_000, dtype=np.uint64)
+    other = key.copy()
+    for _ in range(3):
+        other ^= np.uint64(1) << rng.integers(0, 36, len(key)).astype(np.uint64)
+    keys = np.stack([np.r_[key, other]] * 1, axis=1)
+    i, j, found = np.arange(len(key)), np.arange(len(key)) + len(key), np.zeros(len(key), int)
+    for k in range(4):
+        a, b = S._rotated(key, k, 36, 3), S._rotated(other, k, 36, 3)
+        assert (np.bitwise_count(a ^ b) == np.bitwise_count(key ^ other)).all()
+        found += (a >> np.uint64(27) == b >> np.uint64(27)) & S.first_route(keys, i, j, 0, k, 36, 3)
+    assert (found == 1).all()
+
+
+def brute(docs):
+    """ids, signatures, distances, and which pairs are links by all tables."""
+    sig = S.signatures(docs).where("n_words > 0").toPandas().sort_values(["doc_id", "th"])
     x = sig[["s0", "s1", "s2", "s3"]].to_numpy().view(np.uint64)
-    ids = sig.doc_id.to_numpy()
-    group = {r.doc_id: r.duplicate_of for r in S.near_duplicates(docs).collect()}
-    pairs = [(int(ids[i]), int(ids[i + 1 + j])) for i in range(len(x)) for j in np.flatnonzero(np.bitwise_count(x[i + 1 :] ^ x[i]).sum(axis=1) <= S.TOTAL)]
-    found = sum(group.get(a, a) == group.get(b, b) for a, b in pairs)
-    assert len(pairs) > 20 and found >= 0.9 * len(pairs)
-    label = S.forest(len(ids), np.searchsorted(ids, [a for a, _ in pairs]), np.searchsorted(ids, [b for _, b in pairs]))
-    for a, root in group.items():  # nothing is joined that brute force doesn't join
-        assert label[np.searchsorted(ids, a)] == label[np.searchsorted(ids, root)]
+    keys = S.table_keys(x)
+    pairs = [(i, i + 1 + int(j)) for i in range(len(x)) for j in np.flatnonzero(np.bitwise_count(x[i + 1 :] ^ x[i]).sum(axis=1) <= S.TOTAL)]
+    i, j = np.array(pairs).T
+    return sig.doc_id.to_numpy(), x, i, j, (np.bitwise_count(keys[i] ^ keys[j]) <= S.BUDGET).any(axis=1)
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_classes_and_links_against_brute_force(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    ids, x, i, j, link = brute(docs)
+    label = S.forest(len(ids), i[link], j[link])
+    size = np.bincount(label, minlength=len(ids))
+    same = (x[i] == x[j]).all(axis=1)
+    classes = np.unique(x, axis=0, return_inverse=True)[1]
+    linked = [set() for _ in range(classes.max() + 1)]
+    for a, b in zip(classes[i[link & ~same]].tolist(), classes[j[link & ~same]].tolist()):
+        linked[a].add(b)
+        linked[b].add(a)
+    copies = np.bincount(classes)
+    want = {(int(d), int(ids[label[k]]), None if label[k] == k else int(ids[label[k]]), int(copies[c]) - 1, len(linked[c])) for k, (d, c) in enumerate(zip(ids, classes)) if size[label[k]] > 1}
+    assert {tuple(r) for r in S.near_duplicates(docs).collect()} == want and len(want) > 20
+    assert link.mean() > 0.98  # of all pairs up to TOTAL
 
 
 def test_signature_matches_a_plain_one():

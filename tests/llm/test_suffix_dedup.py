@@ -109,19 +109,20 @@ def test_edge_cases(spark):
     assert R.repeats(frame(spark, [])).collect() == [] and R.without_repeats(frame(spark, [])).collect() == []
 
 
-def test_documents_at_scale_of_the_small_table(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    texts = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
-    rows = R.repeats(docs).collect()
-    got = {(r.doc_id, r.start_word + k) for r in rows for k in range(r.copied_words)}
-    want = covered(texts, R.LENGTH)
-    periodic = set()
-    for d, t in texts:
-        w = t.split()
-        if any(len(set(w[i : i + 25])) <= k and w[i : i + 25] == w[i + k : i + k + 25] for i in range(len(w) - 25) for k in (1, 2, 3)):
-            periodic.add(d)
-    assert got <= want and len(got) > 0.85 * len(want)
-    assert {x for x in got if x[0] not in periodic} == {x for x in want if x[0] not in periodic}
+def test_rows_that_repeat_an_id_are_cut_by_their_own_text(spark):
+    rng = np.random.default_rng(3)
+    new = lambda n: [f"w{x}" for x in rng.integers(0, 10**8, n)]
+    p = new(60)
+    texts = [(1, p + new(20)), (2, ["short", "text", "of", "four"]), (2, new(30) + p), (2, new(200)), (3, new(5) + p), (3, new(5) + p), (4, new(70)), (4, p)]
+    texts.append(texts[4])  # equal to another row
+    frame_ = spark.createDataFrame([(i, " ".join(w), "clash", 5) for i, w in texts], "doc_id long, text string, _id string, cuts int")
+    got = R.without_repeats(frame_)
+    assert got.columns == frame_.columns
+    kept = sorted((r.doc_id, r.text) for r in got.collect())
+    want = [(i, " ".join(w if i == 1 else [x for x in w if x not in p])) for i, w in texts]
+    assert kept == sorted(x for x in want if x[1])
+    found = R.repeats(frame_).collect()
+    assert len({(r.doc_id, r.text_hash) for r in found}) == 5 and {r.n_occurrences for r in found} == {5}
 
 
 @pytest.mark.parametrize("period", [1, 2, 7, 10, 25, 26])
