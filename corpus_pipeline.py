@@ -5,7 +5,7 @@ last return the columns of documents. run() writes each stage's result to the sh
 again for the next, so a lost executor never costs an earlier stage.
 
 1. quality: documents that the classifier rejects go. 2. toxicity: documents with toxic clauses go.
-3. near-duplicates: one document of each group stays, the one with the smallest doc_id.
+3. near-duplicates: one document of each class stays, the one with the smallest doc_id; of rows equal in doc_id and text one.
 4. repeated passages: of a passage of 50 words or more the first occurrence stays; a document of which nothing is left goes.
 5. packing: what is left, in packs along a Hilbert curve.
 
@@ -36,8 +36,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = docs.select(*DOCUMENT_COLUMNS)
-    return docs.join(simhash.near_duplicates(docs).select("doc_id"), "doc_id", "left_anti")
+    return simhash.without_near_duplicates(docs.select(*DOCUMENT_COLUMNS))
 
 
 def repeated_passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
