@@ -1,60 +1,154 @@
-"""Order-dependent operators on lines and tokens: windows by document."""
+"""Paragraphs, sentences, and what happens where one column ends and the next begins."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def by(*order: str):
-    return Window.partitionBy("doc_id").orderBy(*order)
-
-
-def suspicious_continuations(lines: DataFrame) -> DataFrame:
-    """Lines without a hyphen at the end before one that starts with a small letter."""
-    d = lines.withColumn("next_text", F.lead("text").over(by("line_n")))
-    return d.where(~F.col("soft_hyphen") & ~F.col("text").endswith("-") & F.col("next_text").rlike(r"^\p{Ll}")).select("doc_id", "line_n", "text", "next_text")
-
-
-def catchwords(lines: DataFrame) -> DataFrame:
-    """The last line of a document, where it has two words at most, no hyphen, and is short or follows a hyphen."""
-    d = lines.withColumn("before", F.lag("soft_hyphen").over(by("line_n"))).withColumn("after", F.lead("line_n").over(by("line_n")))
-    short = (F.length("text") <= 5) | F.coalesce("before", F.lit(False))
-    return d.where(F.col("after").isNull() & ~F.col("soft_hyphen") & (F.size(F.split("text", r"\s+")) <= 2) & short).select("doc_id", "line_n", F.col("text").alias("catchword"))
-
-
-def italic_runs(lines: DataFrame) -> DataFrame:
-    """(doc_id, line_n, marks, open_before, italic_after): a star toggles italics, across lines."""
-    n = F.size(F.regexp_extract_all("text", F.lit(r"\*"), F.lit(0)))
-    d = lines.withColumn("marks", n).withColumn("total", F.sum("marks").over(by("line_n").rowsBetween(Window.unboundedPreceding, 0)))
-    return d.where("total > 0").select("doc_id", "line_n", "marks", ((F.col("total") - F.col("marks")) % 2 == 1).alias("open_before"), (F.col("total") % 2 == 1).alias("italic_after"))
-
-
-def sentences(tokens: DataFrame) -> DataFrame:
-    """(doc_id, sent_id, n_tokens, first_line, last_line): a sentence ends after . ? or !."""
-    end = F.col("text").isin(".", "...", "?", "!").cast("int")
-    d = tokens.withColumn("sent_id", F.coalesce(F.sum(end).over(by("line_n", "tok_n").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + 1)
-    return d.groupBy("doc_id", "sent_id").agg(F.count("*").alias("n_tokens"), F.min("line_n").alias("first_line"), F.max("line_n").alias("last_line"))
-
-
-def boundaries(tokens: DataFrame, docs: DataFrame, lines: DataFrame | None = None) -> DataFrame:
-    """(from_doc, to_doc, result, closes, first_word): whether the last sentence of a document goes on in the next. One row a document is exchanged for the order of all.
-    With ``lines``, a document whose last line ends in a split word always goes on in the next that has a token."""
-    place = F.struct("line_n", "tok_n")
-    ends = tokens.groupBy("doc_id").agg(F.max_by("text", place).alias("last"), F.min_by("text", F.when(F.col("kind") == "word", place)).alias("first_word"))
-    d = docs.select("doc_id").where("doc_id is not null").distinct().join(ends, "doc_id", "left")
-    split = F.lit(False)
-    if lines is not None:
-        d = d.join(lines.groupBy("doc_id").agg(F.max_by("soft_hyphen", "line_n").alias("split")), "doc_id", "left")
-        split = F.coalesce("split", split)
-    order = Window.orderBy("doc_id")
-    d = d.select(F.col("doc_id").alias("from_doc"), F.lead("doc_id").over(order).alias("to_doc"), F.col("last").isin(".", "?", "!").alias("closes"), "last", F.lead("first_word").over(order).alias("first_word"), (split & F.col("last").isNotNull() & F.lead("last").over(order).isNotNull()).alias("split"))
-    small = F.coalesce(F.col("first_word").rlike(r"^\p{Ll}"), F.lit(False))
-    result = F.when(F.col("split"), "continues").when(F.col("last").isNull() | F.col("first_word").isNull(), "uncertain").when(~F.col("closes") & small, "continues").when(F.col("closes") & ~small, "new").otherwise("uncertain")
-    return d.where("to_doc is not null").select("from_doc", "to_doc", result.alias("result"), "closes", "first_word")
-
-
-def clean_text(lines: DataFrame) -> DataFrame:
-    """(doc_id, text): the lines again, with hyphens."""
-    row = F.struct("line_n", F.concat("text", F.when(F.col("soft_hyphen"), "¬").otherwise("")).alias("t"))
-    return lines.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["t"]), "\n").alias("text"))
+from . import ordered, scan, tokens as T
+from .resolve import resolve
+from .scan import BIBL, KIND, PARA, SENT, TEXT, TOK
+
+PARAGRAPH = "para_id int, first_line int, last_line int, n_sentences int, n_tokens int"
+SENTENCE = "sent_id int, para_id int, first_line int, last_line int, n_tokens int, text string"
+RUN = "run_id int, sent_id int, italic boolean, bibl_id int, first_tok int, n_tokens int"
+
+
+def _cut(tokens: list[list], *fields: int):
+    a = 0
+    for z in range(1, len(tokens) + 1):
+        if z == len(tokens) or any(tokens[z][f] != tokens[a][f] for f in fields):
+            yield tokens[a:z]
+            a = z
+
+
+def _last_line(t: list) -> int:
+    return t[scan.LB] or t[scan.LINE]
+
+
+def paragraphs(docs: DataFrame) -> DataFrame:
+    """(doc_id, PARAGRAPH) of paragraphs with tokens."""
+    return scan.rows_of(docs, PARAGRAPH, lambda t: [(p[0][PARA], p[0][scan.LINE], _last_line(p[-1]), p[-1][SENT] - p[0][SENT] + 1, len(p)) for p in _cut(scan.tokens_of(t), PARA)])
+
+
+def sentences(docs: DataFrame) -> DataFrame:
+    """(doc_id, SENTENCE): sentences end at // and with their paragraph, not at full stops. text: the tokens, with blanks between."""
+    return scan.rows_of(docs, SENTENCE, lambda t: [(s[0][SENT], s[0][PARA], s[0][scan.LINE], _last_line(s[-1]), len(s), " ".join(x[TEXT] for x in s)) for s in _cut(scan.tokens_of(t), SENT)])
+
+
+def italic_bibl_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, RUN): the outer runs of italics and the inner runs of citations of each sentence."""
+    return scan.rows_of(docs, RUN, lambda t: [(n, r[0][SENT], r[0][scan.ITALIC], r[0][BIBL], r[0][TOK], len(r)) for n, r in enumerate(_cut(scan.tokens_of(t), SENT, scan.ITALIC, BIBL), 1)])
+
+
+ENDS = "first_word string, closes boolean, split boolean, last_word string, first_plain string, n_sentences int"
+
+
+def ends_of(text: str) -> list[tuple]:
+    """What joins a column to its neighbours: the first word as it is read, whether the last sentence closes, whether its last word is split, the last word, and the first
+    word of the first sentence that is no abbreviation. One row for each document, nulls where it has no sentence."""
+    lines = scan.lines_of(text)
+    tokens = scan.joined(scan.scanned(lines))
+    if not tokens:
+        return [(None, None, None, None, None, 0)]
+    full = [x for x in lines if x.text.strip()]
+    lexical = lambda t: t[KIND] not in ("pc", "dot")
+    first = next((t for t in tokens if t[SENT] == 1 and lexical(t)), None)
+    last_sentence = [t for t in tokens if t[SENT] == tokens[-1][SENT]]
+    last = next((t for t in reversed(last_sentence) if lexical(t)), None)
+    word = "" if first is None else first[TEXT]
+    if first is not None and first[KIND] != "amp":
+        c = resolve(first[KIND], first[TEXT])
+        word = c.reg if c.kind in ("reg", "ae", "long_s") else first[TEXT]
+    closes = tokens[-1][KIND] in ("pc", "dot") and tokens[-1][TEXT] in (".", "?", "!")
+    plain = next((t[TEXT] for t in tokens if t[SENT] == 1 and t[KIND] == "word"), None)
+    return [(word, closes, full[-1].hyphen and last is not None, last and last[TEXT], plain, tokens[-1][SENT])]
+
+
+def boundaries(docs: DataFrame) -> DataFrame:
+    """(from_doc, to_doc, result, reason, split, closes, first_word, last_word, id_i, id_f, cert) for each document with an id and the next one: whether the last sentence goes on.
+    By rules in order: a document without sentences: uncertain; a split word: continues; no closing mark and a small letter: continues; a closing mark and no small letter: new; else uncertain.
+    Sentences that go on get ids, numbered in order; uncertain ones the certainty low. Rows that repeat an id follow one another in the order of their text's MD5."""
+    keyed = docs.where("doc_id is not null").select("doc_id", "text")
+    d = scan.rows_of(keyed.select(F.struct("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("tie")).alias("row"), "text"), ENDS, ends_of, "row")
+    d = d.select("row.doc_id", "row.tie", *[x.split()[0] for x in ENDS.split(", ")])
+    d = ordered.with_next(d, "doc_id", "tie", ["doc_id", "first_word", "n_sentences"]).where("following is not null")
+    small = F.col("following.first_word").rlike(r"^\p{Ll}")
+    rules = [
+        ((F.col("n_sentences") == 0) | (F.col("following.n_sentences") == 0), "uncertain", "no sentence"), (F.col("split"), "continues", "split word"), (~F.col("closes") & small, "continues", "open, small letter"),
+        (F.col("closes") & ~small, "new", "closed, no small letter"), (~F.col("closes"), "uncertain", "open, no small letter"), (F.lit(True), "uncertain", "closed, small letter"),
+    ]
+    result, reason = F.lit(None), F.lit(None)
+    for when, a, b in reversed(rules):
+        result, reason = F.when(when, a).otherwise(result), F.when(when, b).otherwise(reason)
+    d = d.select(F.col("doc_id").alias("from_doc"), "tie", F.col("following.doc_id").alias("to_doc"), result.alias("result"), reason.alias("reason"), "split", "closes", F.col("following.first_word").alias("first_word"), "last_word")
+    d = ordered.numbered(d, "from_doc", ["tie", "to_doc"], "result = 'continues'", "n")
+    mark = lambda end: F.when(F.col("n").isNotNull(), F.concat(F.lit("s_"), F.col("n").cast("string"), F.lit(end)))
+    return d.select("from_doc", "to_doc", "result", "reason", "split", "closes", "first_word", "last_word", mark("_I").alias("id_i"), mark("_F").alias("id_f"), F.when(F.col("result") == "uncertain", "low").alias("cert"))
+
+
+def words_across(boundaries: DataFrame) -> DataFrame:
+    """(from_doc, to_doc, left, right, reg, orig_left, orig_right): words split between two columns, whole, and as the print has their two parts."""
+    d = boundaries.where("split and result = 'continues'").select("from_doc", "to_doc", F.lit("word_lb").alias("kind"), F.concat("last_word", "first_word").alias("text"), F.length("last_word").alias("left_len"))
+    c = T.choices(d).withColumn("p", F.when(F.col("choice_kind").isin("long_s", "long_s_macron"), F.col("orig")).otherwise(F.col("text")))
+    part = lambda x: (F.expr(f"substr({x}, 1, left_len)"), F.expr(f"substr({x}, left_len + 1)"))
+    return c.select("from_doc", "to_doc", part("text")[0].alias("left"), part("text")[1].alias("right"), F.col("text").alias("reg"), part("p")[0].alias("orig_left"), part("p")[1].alias("orig_right"))
+
+
+def _without_catchword(text: str) -> list[tuple]:
+    """(catchword or null, first plain word) of a column, the word from its text without the catchword's line."""
+    full = [x for x in scan.lines_of(text) if x.text.strip()]
+    word = None
+    if full and not full[-1].hyphen:
+        last = full[-1].text.strip()
+        if len(last.split()) <= 2 and (len(last) <= 5 or (len(full) > 1 and full[-2].hyphen)):
+            word, full = last.rstrip(".-").strip(), full[:-1]
+    first = next((t[TEXT] for t in scan.joined(scan.scanned(full)) if t[KIND] == "word" and t[SENT] == 1), None)
+    return [(word, first)]
+
+
+def joins_left(docs: DataFrame) -> DataFrame:
+    """(from_doc, to_doc, left, right, word): the catchword of a column joined to the first word of the next."""
+    keyed = docs.where("doc_id is not null").select(F.struct("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("tie")).alias("row"), "text")
+    d = scan.rows_of(keyed, "catchword string, first_plain string", _without_catchword, "row").select("row.*", "catchword", "first_plain")
+    d = ordered.with_next(d, "doc_id", "tie", ["doc_id", "first_plain"])
+    return d.where("catchword is not null and following.first_plain is not null").select(
+        F.col("doc_id").alias("from_doc"), F.col("following.doc_id").alias("to_doc"), F.col("catchword").alias("left"), F.col("following.first_plain").alias("right"), F.concat("catchword", "following.first_plain").alias("word")
+    )
+
+
+def blocks(lines: DataFrame, within: list[str]) -> DataFrame:
+    """(within…, block_id, structure_type, first_line, last_line, n_lines): runs of lines (line_n, structure_type) of one type."""
+    order = Window.partitionBy(*within).orderBy("line_n")
+    new = F.coalesce((~F.col("structure_type").eqNullSafe(F.lag("structure_type").over(order))).cast("int"), F.lit(1))
+    d = lines.withColumn("new", F.when(F.row_number().over(order) == 1, 1).otherwise(new)).withColumn("block_id", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return d.groupBy(*within, "block_id").agg(F.first("structure_type").alias("structure_type"), F.min("line_n").alias("first_line"), F.max("line_n").alias("last_line"), F.count("*").alias("n_lines"))
+
+
+TEI_COUNTS = "p int, s int, w int, pc int, lb int, choice int, hi int, bibl int"
+
+
+def counts_of(text: str) -> list[tuple]:
+    """How many elements an edition of this text has. A word with a choice counts twice, as the two readings it has, and three times where one has a choice of its own."""
+    tokens = scan.tokens_of(text)
+    w = choice = 0
+    for t in tokens:
+        if t[KIND] == "amp":
+            w, choice = w + 2, choice + 1
+        elif t[KIND] not in ("pc", "dot"):
+            c = resolve(t[KIND], t[TEXT])
+            extra = 0 if c.kind == "plain" else 2 if c.inner or c.kind == "long_s_macron" else 1
+            w, choice = w + 1 + extra, choice + extra
+    runs = list(_cut(tokens, SENT, scan.ITALIC))
+    breaks = sum(t[f] is not None for t in tokens for f in (scan.SOL, scan.EOL, scan.LB))
+    cited = sum(1 for r in _cut(tokens, SENT, scan.ITALIC, BIBL) if r[0][BIBL])
+    return [(len({t[PARA] for t in tokens}), len({t[SENT] for t in tokens}), w, sum(t[KIND] in ("pc", "dot") for t in tokens), breaks, choice, sum(r[0][scan.ITALIC] for r in runs), cited)]
+
+
+def tei_counts(docs: DataFrame) -> DataFrame:
+    return scan.rows_of(docs, TEI_COUNTS, counts_of)
+
+
+def totals(docs: DataFrame) -> DataFrame:
+    """One row: words (both readings of a choice), sentences and paragraphs of all documents."""
+    return tei_counts(docs).agg(*(F.sum(c).cast("long").alias(n) for c, n in (("w", "words"), ("s", "sentences"), ("p", "paragraphs"))))
