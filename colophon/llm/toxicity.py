@@ -1,19 +1,19 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-A text is a sequence of clauses, cut at . ! ? ; : , and line ends. A lexicon transducer maps
-each word to a class: INSULT, THREAT, TARGET, NEGATION, REPORT (verbs of saying) or OTHER. Five
+A text is a sequence of sentences, cut at . ! ? and line ends, and a sentence one of clauses, cut at ; : and commas. A lexicon transducer maps each word or phrase (``toxicity_lexicon.json``, by language; all
+languages are looked for in every text) to a class: INSULT, ABUSE (phrases that need no target), THREAT, INTENT, TARGET, NEGATION, LATE_NEGATION (which also follows what it denies), REPORT (verbs of saying) or OTHER. Five
 sequential transducers over the classes are composed into one machine:
 
-* negation: within ``REACH`` words after a NEGATION, INSULT and THREAT become denied ones,
-* reported speech: after a REPORT in the clause, what was asserted becomes reported,
-* insult, threat and target: each accepts its kind and gives weights; a TARGET in the clause
-  raises the weight of an insult, and a threat counts only with a target.
+* negation: within ``REACH`` words after a negation in the clause, or before a late one, INSULT, ABUSE and THREAT become denied ones,
+* reported speech: after a REPORT in the sentence, also over commas, colons and quotation marks, what was asserted becomes reported,
+* insult, threat and target: each accepts its kind and gives weights; a TARGET in the clause raises the weight of an insult; a threat counts only with a target at most
+  ``OBJECT`` words after it (or, after an INTENT, before it), and in full only after an INTENT.
 
-The composed machine runs over every clause that holds an INSULT or THREAT; the sum of its weights is the
-clause's score. A document is toxic if its clauses' scores add up to ``THRESHOLD`` or more, so
-that one plain insult is enough, while a denied or a reported one alone is not.
+The composed machine runs over every sentence that holds an INSULT, ABUSE or THREAT; the sum of a clause's weights is its score. A document's score is the sum of its clauses' scores, where insults without a target
+count in full only if there is one in ``SPARSE`` words or more of them, and else in proportion, and all that is denied or reported adds up to ``TOLD`` at most. A document is toxic if that is
+``THRESHOLD`` or more: so an insult at somebody, a phrase of abuse, a threat with intent, or two insults in a text that isn't long, but no lone word, and nothing denied or quoted, however often.
 
-The lexicon holds common words of four languages. ``learned_insults`` adds words from the rows
+``learned_insults`` adds words as ABUSE, if they aren't in the lexicon, from the rows
 labelled toxic: words seen in so many different contexts (previous and next word) of toxic rows that no more
 than ``ALPHA`` of all words would be by chance, and hardly in others. It reads at most ``sample`` toxic
 rows and ten times as many others, those with the least hash of doc_id.
@@ -25,9 +25,12 @@ stays as it is. Columns besides doc_id and text don't matter. Texts are read who
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -36,18 +39,27 @@ from pyspark.sql import functions as F
 
 from . import textops as T
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
-NAMES = ["OTHER", "INSULT", "THREAT", "TARGET", "NEGATION", "REPORT"]
-REACH, THRESHOLD, SAMPLE, ALPHA, RATIO = 3, 1.0, 2000, 0.5, 50.0
-LEXICON = {
-    INSULT: "idiot idiots moron morons scum loser losers worthless pathetic disgusting stupid trash clown clowns imbecile dumb dumbass fool fools vermin "
-    "filth garbage jerk bastard bastards bitch asshole retard cretin degenerate parasite parasites subhuman dummkopf trottel abschaum arschloch "
-    "schwein vollidiot imbécile connard salaud ordure crétin idiota imbécil estúpido estúpida basura escoria gilipollas cabrón",
-    THREAT: "kill hurt destroy beat stab shoot murder burn hang smash töten umbringen erschießen vernichten tuer frapper détruire brûler matar golpear destruir quemar",
-    TARGET: "you your yours yourself he him she her they them their dich dir euch ihn sie ihnen toi vous tes votre vos lui eux tu te ti ustedes vosotros ellos él ella",
-    NEGATION: "not no never nor without isn aren wasn weren don doesn didn won wouldn nicht kein keine keinen niemals nie ohne pas jamais aucun aucune sans nunca jamás sin ningún ninguna",
-    REPORT: "said says say called calls calling wrote writes claimed claims quoted quotes alleged reported sagte sagt nannte schrieb behauptete dit disait appelait écrivait affirmait dijo dice llamó escribió afirmó",
-}
+NAMES = ["OTHER", "INSULT", "THREAT", "TARGET", "NEGATION", "REPORT", "INTENT", "ABUSE", "LATE_NEGATION", "COMMA", "DENIED_INSULT", "DENIED_THREAT", "DENIED_ABUSE"]
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, INTENT, ABUSE, LATE_NEGATION, COMMA, *_ = range(len(NAMES))
+DENIED = {INSULT: NAMES.index("DENIED_INSULT"), THREAT: NAMES.index("DENIED_THREAT"), ABUSE: NAMES.index("DENIED_ABUSE")}
+PASSING = ["OTHER", "TARGET", "REPORT", "INTENT"]
+WORDS = ["OTHER", "REPORT", "NEGATION", "LATE_NEGATION", *(f"{p}{k}" for p in ("", "REPORTED_", "DENIED_") for k in ("INSULT", "ABUSE"))]
+REACH, LATE, OBJECT, THRESHOLD, SPARSE, TOLD, SAMPLE, ALPHA, RATIO = 3, 2, 2, 1.0, 1000, 0.9, 2000, 0.5, 50.0
+LONE, AIMED, ABUSIVE, MEANT, LOOSE, REPORTED, DENIES = 0.7, 0.8, 1.2, 1.0, 0.6, 0.4, 0.1
+
+
+@cache
+def lexicon_data() -> dict[str, dict[str, list[str]]]:
+    return json.loads((Path(__file__).parent / "toxicity_lexicon.json").read_text())
+
+
+def weight(asserted: float = 0, told: float = 0, insults: int = 0, aimed: int = 0) -> int:
+    """What arcs pay, in hundredths, as one number that adds up: what is asserted, what is denied or reported, and numbers of insults and of targets for them."""
+    return round(asserted * 100) + round(told * 100) * 10**12 + insults * 10**24 + aimed * 10**36
+
+
+def parts_of(w: int) -> tuple[float, float, int, int]:
+    return w % 10**12 / 100, w // 10**12 % 10**12 / 100, w // 10**24 % 10**12, w // 10**36
 
 
 @dataclass
@@ -55,10 +67,10 @@ class Transducer:
     """Sequential and weighted: arcs[state][symbol] = (symbol out, weight, next state); a symbol without an arc passes unchanged."""
 
     start: int = 0
-    arcs: dict[int, dict[str, tuple[str, float, int]]] = field(default_factory=dict)
+    arcs: dict[int, dict[str, tuple[str, int, int]]] = field(default_factory=dict)
 
-    def step(self, state: int, symbol: str) -> tuple[str, float, int]:
-        return self.arcs.get(state, {}).get(symbol) or (symbol, 0.0, state)
+    def step(self, state: int, symbol: str) -> tuple[str, int, int]:
+        return self.arcs.get(state, {}).get(symbol) or (symbol, 0, state)
 
     def compose(self, other: Transducer, symbols: list[str]) -> Transducer:
         """The machine that feeds what this one puts out to the other; weights add up."""
@@ -78,41 +90,58 @@ class Transducer:
 
 def negation(reach: int = REACH) -> Transducer:
     """State k: k more words are denied."""
-    arcs: dict = {0: {"NEGATION": ("NEGATION", 0.0, reach)}}
+    begins = {x: (x, 0, reach) for x in ("NEGATION", "LATE_NEGATION")}
+    arcs: dict = {0: dict(begins)}
     for k in range(1, reach + 1):
-        arcs[k] = {s: (s, 0.0, k - 1) for s in ("OTHER", "TARGET", "REPORT")}
-        arcs[k] |= {"INSULT": ("DENIED_INSULT", 0.0, k - 1), "THREAT": ("DENIED_THREAT", 0.0, k - 1), "NEGATION": ("NEGATION", 0.0, reach)}
+        arcs[k] = {s: (s, 0, k - 1) for s in (*PASSING, "DENIED_INSULT", "DENIED_THREAT", "DENIED_ABUSE")} | begins
+        arcs[k] |= {s: (f"DENIED_{s}", 0, k - 1) for s in ("INSULT", "THREAT", "ABUSE")} | {"COMMA": ("COMMA", 0, 0)}
     return Transducer(0, arcs)
 
 
 def reported() -> Transducer:
-    """State 1: a verb of saying came before."""
-    return Transducer(0, {0: {"REPORT": ("REPORT", 0.0, 1)}, 1: {"INSULT": ("REPORTED_INSULT", 0.0, 1), "THREAT": ("REPORTED_THREAT", 0.0, 1)}})
+    """State 1: a verb of saying came before in the sentence."""
+    return Transducer(0, {0: {"REPORT": ("REPORT", 0, 1)}, 1: {s: (f"REPORTED_{s}", 0, 1) for s in ("INSULT", "THREAT", "ABUSE")}})
 
 
 def insult() -> Transducer:
-    return Transducer(0, {0: {"INSULT": ("INSULT", 1.0, 0), "REPORTED_INSULT": ("REPORTED_INSULT", 0.4, 0), "DENIED_INSULT": ("DENIED_INSULT", 0.1, 0)}})
+    told = {f"{p}_{s}": (f"{p}_{s}", weight(told=w), 0) for p, w in (("REPORTED", REPORTED), ("DENIED", DENIES)) for s in ("INSULT", "ABUSE")}
+    return Transducer(0, {0: {"INSULT": ("INSULT", weight(insults=1), 0), "ABUSE": ("ABUSE", weight(ABUSIVE), 0)} | told})
 
 
 def target() -> Transducer:
-    """1: a target came, 2: an insult came, 3: both, and paid."""
-    pay = 0.5
-    return Transducer(0, {0: {"TARGET": ("TARGET", 0.0, 1), "INSULT": ("INSULT", 0.0, 2)}, 1: {"INSULT": ("INSULT", pay, 3)}, 2: {"TARGET": ("TARGET", pay, 3)}})
-
-
-def threat() -> Transducer:
-    """1: a target came, 2: a threat waits for its target, 3: paid; 4: a reported threat waits."""
-    pay, told = 1.0, 0.4
-    return Transducer(
-        0,
-        {
-            0: {"TARGET": ("TARGET", 0.0, 1), "THREAT": ("THREAT", 0.0, 2), "REPORTED_THREAT": ("REPORTED_THREAT", 0.0, 4)},
-            1: {"THREAT": ("THREAT", pay, 3), "REPORTED_THREAT": ("REPORTED_THREAT", told, 3)},
-            2: {"TARGET": ("TARGET", pay, 3)},
-            3: {"THREAT": ("THREAT", pay, 3), "REPORTED_THREAT": ("REPORTED_THREAT", told, 3)},
-            4: {"TARGET": ("TARGET", told, 3)},
-        },
-    )
+    """1: a target came in the clause, 2: an insult came, 3: both, and paid."""
+    again = {"COMMA": ("COMMA", 0, 0)}
+    return Transducer(0, {0: {"TARGET": ("TARGET", 0, 1), "INSULT": ("INSULT", 0, 2)}, 1: {"INSULT": ("INSULT", weight(aimed=1), 3)} | again, 2: {"TARGET": ("TARGET", weight(aimed=1), 3)} | again, 3: again})
+
+
+def threat(reach: int = OBJECT) -> Transducer:
+    """("wait", k, meant, told): a threat whose target may come within k words; ("near", k): after an intent, a target that came at most k words before; "meant": after an intent."""
+    numbers: dict = {"none": 0}
+    arcs: dict = {}
+
+    def number(state) -> int:
+        return numbers.setdefault(state, len(numbers))
+
+    states = ["none", "meant", *(("near", k) for k in range(1, reach + 1)), *(("wait", k, m, t) for k in range(1, reach + 1) for m in (False, True) for t in (False, True))]
+    for state in states:
+        row = {}
+        meant = state == "meant" or state[0] == "near" or (state[0] == "wait" and state[2])
+        rest = "meant" if meant else "none"
+        for told, symbol in ((False, "THREAT"), (True, "REPORTED_THREAT")):
+            if state[0] == "near":
+                row[symbol] = (symbol, weight(told=REPORTED) if told else weight(MEANT), number(rest))
+            else:
+                row[symbol] = (symbol, 0, number(("wait", reach, meant, told)))
+        row["DENIED_THREAT"] = ("DENIED_THREAT", 0, number(rest))
+        row["TARGET"] = ("TARGET", (weight(told=REPORTED) if state[3] else weight(MEANT if state[2] else LOOSE)) if state[0] == "wait" else 0, number(("near", reach) if meant else "none"))
+        if state[0] in ("wait", "near"):
+            k = state[1]
+            for s in WORDS:
+                row[s] = (s, 0, number((state[0], k - 1, *state[2:]) if k > 1 else rest))
+        row["INTENT"] = ("INTENT", 0, number("meant"))
+        row["COMMA"] = ("COMMA", 0, number("none"))
+        arcs[number(state)] = row
+    return Transducer(0, arcs)
 
 
 def grammar() -> Transducer:
@@ -126,43 +155,98 @@ def grammar() -> Transducer:
 class Lexicon:
     hash: np.ndarray
     kind: np.ndarray
+    phrases: dict[int, np.ndarray]  # by number of words, the sorted hashes of phrases of abuse
 
     @classmethod
     def of(cls, extra: list[int] = ()) -> Lexicon:
-        entries = {int(h): INSULT for h in extra}
-        for kind, words in LEXICON.items():
-            entries |= dict.fromkeys(T.hash_words(words.split()).tolist(), kind)
+        entries = {int(h): ABUSE for h in extra}
+        phrases: dict[int, list[int]] = {}
+        for words in lexicon_data().values():
+            for name, listed in words.items():
+                if name == "ABUSE":
+                    for x in listed:
+                        phrases.setdefault(len(x.split()), []).append(int(T.gram_hashes(T.hash_words(x.split()), len(x.split()))[0]))
+                else:
+                    entries |= dict.fromkeys(T.hash_words(listed).tolist(), NAMES.index(name))
         hashes = np.array(sorted(entries), np.uint64)
-        return cls(hashes, np.array([entries[h] for h in hashes.tolist()], np.int8))
+        return cls(hashes, np.array([entries[h] for h in hashes.tolist()], np.int8), {n: np.array(sorted(x), np.uint64) for n, x in phrases.items()})
 
-    def classes(self, h: np.ndarray) -> np.ndarray:
+    def classes(self, w: T.Words) -> np.ndarray:
+        """The class of each word; the first word of a phrase of abuse has its class, the others are OTHER."""
+        h = w.hash
         at = np.minimum(np.searchsorted(self.hash, h), len(self.hash) - 1)
-        return np.where(self.hash[at] == h, self.kind[at], OTHER)
+        kind = np.where(self.hash[at] == h, self.kind[at], OTHER)
+        for n, known in self.phrases.items():
+            g = T.gram_hashes(h, n)
+            at = np.minimum(np.searchsorted(known, g), len(known) - 1)
+            for i in np.flatnonzero(known[at] == g).tolist():
+                if w.last[i] >= i + n:
+                    kind[i : i + n] = OTHER
+                    kind[i] = ABUSE
+        return kind
 
 
-_BREAKS = np.zeros(256, bool)
-_BREAKS[[ord(c) for c in ".!?;:,\n\r"]] = True
+_SENTENCE, _CLAUSE = np.zeros(256, bool), np.zeros(256, bool)
+_SENTENCE[[ord(c) for c in ".!?\n\r"]] = True
+_CLAUSE[[ord(c) for c in ";:,"]] = True
 
 
-def clauses_of(w: T.Words, lexicon: Lexicon, machine: Transducer) -> Iterator[tuple[int, int, int, float, str]]:
-    """(document, first byte, end, score, what was matched) of each clause that holds an insult or a threat."""
-    kind = lexicon.classes(w.hash)
-    hits = np.flatnonzero((kind == INSULT) | (kind == THREAT))
+@dataclass
+class Clause:
+    doc: int
+    start: int  # first byte
+    end: int
+    score: float
+    lone: float  # the part of the score that is insults without a target
+    told: float  # the part that is denied or reported
+    pattern: str
+
+
+def clauses_of(w: T.Words, lexicon: Lexicon, machine: Transducer) -> Iterator[Clause]:
+    """Each clause that holds an insult, abuse or a threat."""
+    kind = lexicon.classes(w)
+    hits = np.flatnonzero((kind == INSULT) | (kind == THREAT) | (kind == ABUSE))
     if len(hits) == 0:
         return
-    breaks = np.r_[0, np.cumsum(_BREAKS[w.data])]
-    gap = breaks[w.start[1:]] != breaks[w.end[:-1]]
+    ends, commas = np.r_[0, np.cumsum(_SENTENCE[w.data])], np.r_[0, np.cumsum(_CLAUSE[w.data])]
+    gap = ends[w.start[1:]] != ends[w.end[:-1]]
     edge = np.r_[0, np.flatnonzero(gap | (w.doc[1:] != w.doc[:-1])) + 1, len(w.hash)]
     doc = w.doc
     for c in np.unique(np.searchsorted(edge, hits, "right") - 1):
-        a, b = edge[c], edge[c + 1]
-        state, score, seen = machine.start, 0.0, []
-        for k in kind[a:b].tolist():
-            out, weight, state = machine.step(state, NAMES[k])
-            score += weight
+        a, b = int(edge[c]), int(edge[c + 1])
+        comma = np.r_[False, commas[w.start[a + 1 : b]] != commas[w.end[a : b - 1]]]
+        kinds = kind[a:b].tolist()
+        state = machine.start
+        first, paid, seen, toxic = 0, 0, [], False
+
+        def made(lo: int, hi: int) -> Clause:
+            asserted, told, insults, aimed = parts_of(paid)
+            lone = 0.0 if aimed else LONE * insults
+            return Clause(int(doc[a]), int(w.start[a + lo]), int(w.end[a + hi - 1]), asserted + told + LONE * insults + AIMED * aimed, lone, told, " ".join(seen))
+
+        for i, k in enumerate(kinds):
+            if comma[i]:
+                if toxic:
+                    yield made(first, i)
+                _, _, state = machine.step(state, "COMMA")
+                first, paid, seen, toxic = i, 0, [], False
+            if k in DENIED and LATE_NEGATION in kinds[i + 1 : i + 1 + LATE + 1] and not comma[i + 1 : i + 1 + kinds[i + 1 :].index(LATE_NEGATION) + 1].any():
+                name = NAMES[DENIED[k]]
+            else:
+                name = NAMES[k]
+            out, w_, state = machine.step(state, name)
+            paid += w_
+            toxic |= k in DENIED
             if k != OTHER:
                 seen.append(out)
-        yield int(doc[a]), int(w.start[a]), int(w.end[b - 1]), score, " ".join(seen)
+        if toxic:
+            yield made(first, len(kinds))
+
+
+def document_score(clauses: list[Clause], n_words: int) -> float:
+    lone, told = sum(c.lone for c in clauses), sum(c.told for c in clauses)
+    rest = sum(c.score for c in clauses) - lone - told
+    return round(rest + lone * min(1.0, SPARSE * lone / LONE / max(n_words, 1)) + min(told, TOLD), 6)
 
 
 def learned_insults(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, alpha: float = ALPHA, ratio: float = RATIO) -> list[int]:
@@ -212,6 +296,15 @@ def learned_insults(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, al
     return [h for h, f in zip(candidates.tolist(), found) if n[h] >= least and (n[h] + 0.5) / own >= ratio * (f + 0.5) / total]
 
 
+def _by_document(w: T.Words, lexicon: Lexicon, machine: Transducer) -> Iterator[tuple[int, float, list[Clause]]]:
+    """(document, score, clauses) of each document with any."""
+    found: dict[int, list[Clause]] = {}
+    for c in clauses_of(w, lexicon, machine):
+        found.setdefault(c.doc, []).append(c)
+    for d, clauses in found.items():
+        yield d, document_score(clauses, int(w.first[d + 1] - w.first[d])), clauses
+
+
 def toxic_documents(docs: DataFrame, extra: list[int] = (), threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, score, n_clauses, clauses) for each document found toxic. clauses: the matched clauses (text, score, what was matched), in order."""
     lexicon, machine = Lexicon.of(extra), grammar()
@@ -220,14 +313,11 @@ def toxic_documents(docs: DataFrame, extra: list[int] = (), threshold: float = T
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for w in T.each_words(b.column(1)):
-                found: dict[int, list[dict]] = {}
-                for d, lo, hi, score, seen in clauses_of(w, lexicon, machine):
-                    found.setdefault(d, []).append({"clause": w.data[lo:hi].tobytes().decode(errors="replace"), "score": score, "pattern": seen})
-                rows = [(d, round(sum(x["score"] for x in c), 6), c) for d, c in found.items()]
-                rows = [r for r in rows if r[1] >= threshold]
+                rows = [(d, s, c) for d, s, c in _by_document(w, lexicon, machine) if s >= threshold]
                 if rows:
                     ids = b.column(0).take(pa.array([w.lo + r[0] for r in rows]))
-                    yield pa.RecordBatch.from_arrays([ids, pa.array([r[1] for r in rows]), pa.array([len(r[2]) for r in rows], pa.int32()), pa.array([r[2] for r in rows], kind)], ["doc_id", "score", "n_clauses", "clauses"])
+                    clauses = [[{"clause": w.data[c.start : c.end].tobytes().decode(errors="replace"), "score": round(c.score, 6), "pattern": c.pattern} for c in r[2]] for r in rows]
+                    yield pa.RecordBatch.from_arrays([ids, pa.array([r[1] for r in rows]), pa.array([len(r[2]) for r in rows], pa.int32()), pa.array(clauses, kind)], ["doc_id", "score", "n_clauses", "clauses"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double, n_clauses int, clauses array<struct<clause: string, score: double, pattern: string>>")
 
@@ -238,10 +328,10 @@ def without_toxic(docs: DataFrame, extra: list[int] = (), threshold: float = THR
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            score = np.zeros(b.num_rows)
+            stays = np.ones(b.num_rows, bool)
             for w in T.each_words(b.column(at)):
-                for d, _, _, s, _ in clauses_of(w, lexicon, machine):
-                    score[w.lo + d] += s
-            yield b.filter(pa.array(np.round(score, 6) < threshold))
+                for d, s, _ in _by_document(w, lexicon, machine):
+                    stays[w.lo + d] = s < threshold
+            yield b.filter(pa.array(stays))
 
     return docs.mapInArrow(run, docs.schema)
