@@ -4,7 +4,8 @@ A document becomes a hashed vector of its words (counts in ``BUCKETS`` buckets,
 unit length), projected to ``DIMS`` dimensions by a fixed Gaussian matrix. Each dimension is scaled
 from the range of all documents to ``DEPTH`` bits, and the Hilbert index of the cell is the document's key. The documents are range-sorted by (key, doc_id) and
 laid end to end along the curve; the line is cut every ``capacity`` words. So neighbours on the
-curve share packs, every pack but the last is full, and a document longer than a pack goes on in the next ones.
+curve share packs, every pack but the last is full, and a document longer than a pack goes on in the next ones. Each row has its piece of the text: the pieces of a document, one after another, are the
+whole text (what stands before its first word belongs to the first piece, what stands after a word to the piece of that word).
 
 Words are counted on whole texts. Rows without doc_id are left out. A null text counts as empty; documents
 without words take no room and are in no pack. Rows that repeat an id are packed one after another, equal rows included.
@@ -61,52 +62,69 @@ def hilbert(cells: np.ndarray, depth: int) -> np.ndarray:
 
 
 def vectors(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, x0 …) for each document with words."""
+    """(doc_id, text, n_words, x0 …) for each document with words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for w in T.each_words(b.column(1)):
                 x = projected(w)
-                yield pa.RecordBatch.from_arrays([b.column(0)[w.lo : w.hi], pa.array(np.diff(w.first)), *(pa.array(x[:, j]) for j in range(DIMS))], ["doc_id", "n_words", *(f"x{j}" for j in range(DIMS))])
+                yield pa.RecordBatch.from_arrays([*(b.column(c)[w.lo : w.hi] for c in (0, 1)), pa.array(np.diff(w.first)), *(pa.array(x[:, j]) for j in range(DIMS))], ["doc_id", "text", "n_words", *(f"x{j}" for j in range(DIMS))])
 
-    return keyed(docs).mapInArrow(run, "doc_id long, n_words long, " + ", ".join(f"x{j} double" for j in range(DIMS))).where("n_words > 0")
+    return keyed(docs).mapInArrow(run, "doc_id long, text string, n_words long, " + ", ".join(f"x{j} double" for j in range(DIMS))).where("n_words > 0")
 
 
 def curve_keys(points: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(doc_id, n_words, key) of vectors()."""
+    """(doc_id, text, n_words, key) of vectors()."""
     edges = points.agg(*(f(f"x{j}") for j in range(DIMS) for f in (F.min, F.max))).first()
     low = np.array([edges[2 * j] or 0 for j in range(DIMS)])
     width = np.maximum(np.array([edges[2 * j + 1] or 0 for j in range(DIMS)]) - low, 1e-12)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.stack([b.column(2 + j).to_numpy() for j in range(DIMS)], axis=1)
+            x = np.stack([b.column(3 + j).to_numpy() for j in range(DIMS)], axis=1)
             cells = np.clip((x - low) / width * (1 << depth), 0, (1 << depth) - 1).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(hilbert(cells, depth))], ["doc_id", "n_words", "key"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(hilbert(cells, depth))], ["doc_id", "text", "n_words", "key"])
 
-    return points.mapInArrow(run, "doc_id long, n_words long, key long")
+    return points.mapInArrow(run, "doc_id long, text string, n_words long, key long")
+
+
+def _cut(capacity: int):
+    """The pieces of each document (doc_id, text, key, at), at being its first word's place on the line."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            key, place = b.column(2).to_numpy(), b.column(3).to_numpy()
+            for w in T.each_words(b.column(1)):
+                at, n = place[w.lo : w.hi], np.diff(w.first)
+                first = at // capacity
+                many = (at + n - 1) // capacity - first + 1
+                doc = np.repeat(np.arange(len(n)), many)
+                pack = first[doc] + np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+                lo, hi = np.maximum(at[doc], pack * capacity), np.minimum(at[doc] + n[doc], (pack + 1) * capacity)
+                from_word, to_word = lo - at[doc], hi - at[doc]
+                base, raw = w.first[doc], w.data
+                start = np.where(from_word == 0, w.off[doc], w.start[np.minimum(base + from_word, len(w.start) - 1)])
+                end = np.where(to_word == n[doc], w.off[doc + 1], w.start[np.minimum(base + to_word, len(w.start) - 1)])
+                text = [raw[x:y].tobytes().decode() for x, y in zip(start.tolist(), end.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pack), pa.array(lo - pack * capacity), b.column(0)[w.lo : w.hi].take(pa.array(doc)), pa.array(key[w.lo : w.hi][doc]), pa.array(from_word), pa.array(hi - lo), pa.array(text, pa.string())],
+                    ["pack_id", "position", "doc_id", "key", "first_word", "n_words", "text"],
+                )
+
+    return run
 
 
 def packs(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """(pack_id, position, doc_id, key, first_word, n_words): the pieces of documents in each pack;
+    """(pack_id, position, doc_id, key, first_word, n_words, text): the pieces of documents in each pack;
     position is the piece's place in the pack, in words; first_word its first word in the document."""
     if capacity < 1:
         raise ValueError("capacity must be positive")
-    keys = curve_keys(written(vectors(docs), "vectors"))
+    keys = curve_keys(vectors(docs))
     # The sort is written once: part numbers come from a sample of the data, and must be the same for both uses.
     line = written(keys.repartitionByRange("key", "doc_id", "n_words").sortWithinPartitions("key", "doc_id", "n_words").withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()), "line")
     # One row a partition of the sort: few, however many documents there are.
     before = line.groupBy("part").agg(F.sum("n_words").alias("words")).withColumn("before", F.sum("words").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
-    run = Window.partitionBy("part").orderBy("place")
-    at = (
-        line.withColumn("within", F.sum("n_words").over(run) - F.col("n_words"))
-        .join(F.broadcast(before.select("part", F.coalesce("before", F.lit(0)).alias("before"))), "part")
-        .withColumn("at", F.col("before") + F.col("within"))
-    )
-    first, last = F.expr(f"at div {capacity}"), F.expr(f"(at + n_words - 1) div {capacity}")
-    return (
-        at.select("doc_id", "key", "at", F.col("n_words").alias("n"), F.explode(F.sequence(first, last)).alias("pack_id"))
-        .withColumn("from", F.greatest(F.col("at"), F.col("pack_id") * capacity))
-        .withColumn("to", F.least(F.col("at") + F.col("n"), (F.col("pack_id") + 1) * capacity))
-        .select("pack_id", (F.col("from") - F.col("pack_id") * capacity).alias("position"), "doc_id", "key", (F.col("from") - F.col("at")).alias("first_word"), (F.col("to") - F.col("from")).alias("n_words"))
-    )
+    within = line.select("part", "place", F.sum("n_words").over(Window.partitionBy("part").orderBy("place")).alias("upto"))  # without the texts
+    at = line.join(within, ["part", "place"]).join(F.broadcast(before.select("part", F.coalesce("before", F.lit(0)).alias("before"))), "part")
+    at = at.select("doc_id", "text", "key", (F.col("before") + F.col("upto") - F.col("n_words")).alias("at"))
+    return at.mapInArrow(_cut(capacity), "pack_id long, position long, doc_id long, key long, first_word long, n_words long, text string")

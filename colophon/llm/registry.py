@@ -20,6 +20,10 @@ def op2_warc_revisits(spark, sf_dir):
     return warc.deduplicated(_table(spark, sf_dir, "pages"))
 
 
+def op2_archive_round_trip(spark, sf_dir):
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op3_exact_top_k(spark, sf_dir):
     return topk.top_k(_table(spark, sf_dir, "embeddings"))
 
@@ -61,6 +65,7 @@ def op10_forced_boundary_bpe(spark, sf_dir):
 QUERIES = {
     "op1_suffix_array_repeats": op1_suffix_array_repeats,
     "op2_warc_revisits": op2_warc_revisits,
+    "op2_archive_round_trip": op2_archive_round_trip,
     "op3_exact_top_k": op3_exact_top_k,
     "op4_deleted_interpolation": op4_deleted_interpolation,
     "op5_toxic_clauses": op5_toxic_clauses,
@@ -72,6 +77,6 @@ QUERIES = {
     "op10_forced_boundary_bpe": op10_forced_boundary_bpe,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE: dict[str, str] = {"op6_threshold_sketches": fingerprints.sql(), "op6_benchmark_passages": fingerprints.passages_sql(), "op2_warc_revisits": warc.sql(), "op3_exact_top_k": topk.sql()}
+ORACLE: dict[str, str] = {"op6_threshold_sketches": fingerprints.sql(), "op6_benchmark_passages": fingerprints.passages_sql(), "op2_warc_revisits": warc.sql(), "op2_archive_round_trip": warc.round_trip_sql(), "op3_exact_top_k": topk.sql()}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -13,13 +13,18 @@ url are dropped. Empty tables give empty results. Other columns don't matter. Te
 
 from __future__ import annotations
 
+import gzip
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pa_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import scratch_root
+
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LINE = "\r\n"
@@ -86,41 +91,94 @@ SELECT page_id, url, CASE WHEN k > 1 THEN 'revisit' ELSE 'response' END AS warc_
 FROM b"""
 
 
-def write_archive(records: DataFrame, path: str) -> None:
-    """The column record as gzipped WARC files in the folder path. Spark's own writer commits them, so a lost executor leaves no half file."""
-    records.select("record").write.option("lineSep", LINE * 2).option("compression", "gzip").text(path)
-
-
-def _records(content: bytes) -> Iterator[tuple]:
-    if content[:2] == b"\x1f\x8b":
-        parts = []
-        while content:
-            d = zlib.decompressobj(31)
-            parts.append(d.decompress(content) + d.flush())
-            content = d.unused_data
-        content = b"".join(parts)
-    at, sep = 0, LINE.encode() * 2
-    while (at := content.find(b"WARC/", at)) >= 0 and (end := content.find(sep, at)) >= 0:
-        pairs = [x.split(":", 1) for x in content[at:end].decode("utf-8", "replace").split(LINE)[1:] if ":" in x]
-        h = {k.strip().lower(): v.strip() for k, v in pairs}
-        size = int(h.get("content-length") or 0)
-        names = ("warc-record-id", "warc-type", "warc-target-uri", "warc-date", "warc-payload-digest", "warc-refers-to")
-        yield (*(h.get(x) for x in names), content[end + 4 : end + 4 + size])
-        at = end + 4 + size
-
+def write_archive(records: DataFrame, path: str) -> DataFrame:
+    """The column record as WARC files in the folder path (any that pyarrow knows), gzipped record by record, as the format asks, so that one can be read by its offset; each file begins with a warcinfo record.
+    A file is written under another name and moved when it is whole, so a task that runs again replaces what it wrote. Returns (file, n_records, bytes)."""
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the WARC files (gzipped or not) at path, as ARCHIVE. A file is read by one task, whole."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        fs, folder = pa_fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pa_fs.LocalFileSystem(), path)
+        fs.create_dir(folder, recursive=True)
+        part = TaskContext.get().partitionId()
+        name, temporary, n = f"{folder}/part-{part:05d}.warc.gz", f"{folder}/_part-{part:05d}-{uuid.uuid4().hex}", 0
+        with fs.open_output_stream(temporary, compression=None) as out:
+            info = "software: colophon" + LINE + "format: WARC File Format 1.1" + LINE
+            head = f"WARC/1.1{LINE}WARC-Type: warcinfo{LINE}WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>{LINE}WARC-Date: {DATE}{LINE}Content-Type: application/warc-fields{LINE}Content-Length: {len(info)}{LINE * 2}"
+            out.write(gzip.compress((head + info + LINE * 2).encode(), 6, mtime=0))
+            for b in batches:
+                for record in b.column(0):
+                    out.write(gzip.compress((record.as_py() + LINE * 2).encode(), 6, mtime=0))
+                    n += 1
+            size = out.tell()
+        fs.move(temporary, name)
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n]), pa.array([size])], ["file", "n_records", "bytes"])
+
+    return records.select("record").mapInArrow(run, "file string, n_records long, bytes long")
+
+
+def _inflated(chunks: Iterator[bytes]) -> Iterator[bytes]:
+    """Chunks of a file, decompressed where they are gzip members, one after another. Each byte is looked at once."""
+    d, plain = None, None
+    for chunk in chunks:
+        if plain is None:
+            plain = chunk[:2] != b"\x1f\x8b"
+        if plain:
+            yield chunk
+            continue
+        while chunk:
+            d = d or zlib.decompressobj(31)
+            yield d.decompress(chunk)
+            chunk = b""
+            if d.eof:
+                chunk, d = d.unused_data.lstrip(b"\0"), None
+
+
+def records_of(chunks: Iterator[bytes]) -> Iterator[tuple]:
+    """ARCHIVE rows of a WARC file, given in chunks; what follows the last whole record is left out. No more is held than a record and a chunk."""
+    names = ("warc-record-id", "warc-type", "warc-target-uri", "warc-date", "warc-payload-digest", "warc-refers-to")
+    buffer, sep, need = bytearray(), LINE.encode() * 2, 0
+    for chunk in _inflated(chunks):
+        buffer += chunk
+        if len(buffer) < need:
+            continue
+        at = 0
+        while (begin := buffer.find(b"WARC/", at)) >= 0 and (end := buffer.find(sep, begin)) >= 0:
+            pairs = [x.split(":", 1) for x in buffer[begin:end].decode("utf-8", "replace").split(LINE)[1:] if ":" in x]
+            h = {k.strip().lower(): v.strip() for k, v in pairs}
+            size = int(h.get("content-length") or 0)
+            if len(buffer) < end + 4 + size:
+                need = end + 4 + size - at
+                break
+            yield (*(h.get(x) for x in names), bytes(buffer[end + 4 : end + 4 + size]))
+            at, need = end + 4 + size, 0
+        del buffer[:at]
+
+
+def read_archive(spark: SparkSession, path: str, chunk: int = 1 << 20) -> DataFrame:
+    """The records of the WARC files (gzipped or not, of any size) at path, as ARCHIVE. A file is streamed by one task; hidden files are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in ARCHIVE.split(", ")]
+
+        def batch(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == "block" else pa.string()) for c, n in zip(zip(*rows), names)], names)
+
         for b in batches:
-            for content in b.column(0):
-                rows = list(_records(content.as_py()))
+            for name in b.column(0).to_pylist():
+                fs, file = pa_fs.FileSystem.from_uri(name)
+                rows, held = [], 0
+                with fs.open_input_stream(file, compression=None) as stream:
+                    for r in records_of(iter(lambda: stream.read(chunk), b"")):  # noqa: B023
+                        rows.append(r)
+                        held += len(r[-1])
+                        if held > 1 << 24:
+                            yield batch(rows)
+                            rows, held = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if n == "block" else pa.string()) for c, n in zip(zip(*rows), names)], names)
+                    yield batch(rows)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, ARCHIVE)
+    return spark.read.format("binaryFile").load(path).select("path").mapInArrow(run, ARCHIVE)
 
 
 def resolved(archive: DataFrame) -> DataFrame:
@@ -133,3 +191,27 @@ def resolved(archive: DataFrame) -> DataFrame:
         .join(first, "digest", "left")
         .select("record_id", "uri", "date", "digest", F.col("o.record_id").alias("original_id"), F.col("o.uri").alias("original_uri"), F.col("o.date").alias("original_date"))
     )
+
+
+def crawled_twice(pages: DataFrame) -> DataFrame:
+    """pages, and each page again under another address: an archive with a revisit record for each at least."""
+    page = pages.select("page_id", "url", "html")
+    return page.union(page.select("page_id", F.concat(F.coalesce("url", F.lit("")), F.lit("#again")), "html"))
+
+
+def round_trip(pages: DataFrame) -> DataFrame:
+    """resolved() of an archive of pages that were crawled twice, after it was written as WARC files to the shared folder and read from there."""
+    path = f"{scratch_root(pages.sparkSession)}/warc-{uuid.uuid4().hex}"
+    write_archive(deduplicated(crawled_twice(pages)), path).agg(F.sum("n_records")).collect()
+    return resolved(read_archive(pages.sparkSession, path))
+
+
+def round_trip_sql(date: str = DATE) -> str:
+    """round_trip() of pages, for DuckDB."""
+    again = "pages AS (SELECT page_id, url, html FROM main.pages UNION ALL SELECT page_id, coalesce(url, '') || '#again', html FROM main.pages), p AS ("
+    head = lambda name: f"regexp_extract(record, '{name}: ([^\r]*)', 1)"
+    return f"""
+WITH made AS ({sql(date).replace("WITH p AS (", f"WITH {again}", 1)}),
+h AS (SELECT {head("WARC-Record-ID")} AS record_id, warc_type, {head("WARC-Target-URI")} AS uri, {head("WARC-Date")} AS date, {head("WARC-Payload-Digest")} AS digest FROM made),
+o AS (SELECT digest, min((date, record_id, uri)) AS o FROM h WHERE warc_type = 'response' GROUP BY 1)
+SELECT record_id, uri, date, digest, o[2] AS original_id, o[3] AS original_uri, o[1] AS original_date FROM h LEFT JOIN o USING (digest) WHERE warc_type = 'revisit'"""
