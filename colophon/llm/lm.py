@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from . import textops as T
 from .common import keyed, written
 
-HELD, BUCKETS2, BUCKETS1, STEP, PIECE, SHARD, BYTES_A_GRAM, KEPT, GROWTH, PRIOR = 10, 8, 16, 4, 4 << 20, 4_000_000, 3.3, 40, 8, 1
+HELD, BUCKETS2, BUCKETS1, STEP, PIECE, SHARD, BYTES_A_GRAM, KEPT, GROWTH, PRIOR = 10, 8, 16, 4, 2 << 20, 2_000_000, 3.3, 40, 8, 1
 U = np.uint64
 EDGE = U(0x5851F42D4C957F2D)
 ZERO = -(1 << 14)  # stands for the logarithm of an estimate of 0
