@@ -84,7 +84,7 @@ def custom_spans(s, d):
 def structure_blocks(s, d):
     """Runs of lines of one type; a line's type is that of its first letter here."""
     kind = F.when(F.col("text").rlike(r"^\p{Lu}"), "paragraph").when(F.col("text").rlike(r"^\p{Ll}"), "heading")
-    keyed = E.edition(s, d, marks=False).select(F.struct("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("tie")).alias("doc_id"), "text")
+    keyed = E.edition(s, d, marks=False).select(F.struct("doc_id", F.monotonically_increasing_id().alias("row")).alias("doc_id"), "text")  # equal rows stay apart
     return structure.blocks(L.lines(keyed).withColumn("structure_type", kind), ["doc_id"]).withColumn("doc_id", F.col("doc_id.doc_id"))
 
 
