@@ -159,7 +159,7 @@ def trie_pairs(key: np.ndarray, done: int, bits: int, budget: int, most: int = 1
             continue
         small = ((a1 - a0) * (b1 - b0) <= 64) | (level == bits)
         if small.any():
-            for i, j in _leaf_pairs(a0[small], a1[small], b0[small], b1[small], 4 * most):
+            for i, j in _leaf_pairs(a0[small], a1[small], b0[small], b1[small], most):
                 ok = i < j
                 i, j = i[ok], j[ok]
                 ok = np.bitwise_count(key[i] ^ key[j]) <= budget
