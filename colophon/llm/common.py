@@ -1,10 +1,14 @@
-"""What the operators share: scratch tables and input columns."""
+"""What the operators share: scratch tables, input columns and memory of Python workers."""
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from functools import cache, wraps
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +38,41 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@cache
+def _malloc_trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):  # not the GNU library
+        return None
+
+
+def give_back() -> None:
+    """Freed memory that Arrow and the C library hold goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := _malloc_trim():
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, a function for mapInArrow, giving back what it has freed after each batch and at its end. A worker
+    stays for later tasks and stages, and an executor has as many as its tasks once had steps at a time; else each keeps the most it ever took."""
+
+    @wraps(run)
+    def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def each() -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield b
+                del b
+                give_back()
+
+        try:
+            yield from run(each())
+        finally:
+            give_back()
+
+    return trimmed
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

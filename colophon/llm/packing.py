@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import keyed, written
+from .common import keyed, lean, written
 
 BUCKETS, DIMS, DEPTH, CAPACITY, SEED = 256, 3, 10, 4096, 11
 
@@ -62,35 +62,41 @@ def hilbert(cells: np.ndarray, depth: int) -> np.ndarray:
 
 
 def vectors(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, n_words, x0 …) for each document with words."""
+    """(x0 …) for each document with words."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for w in T.each_words(b.column(1)):
-                x = projected(w)
-                yield pa.RecordBatch.from_arrays([*(b.column(c)[w.lo : w.hi] for c in (0, 1)), pa.array(np.diff(w.first)), *(pa.array(x[:, j]) for j in range(DIMS))], ["doc_id", "text", "n_words", *(f"x{j}" for j in range(DIMS))])
+                x = projected(w)[np.diff(w.first) > 0]
+                yield pa.RecordBatch.from_arrays([pa.array(x[:, j]) for j in range(DIMS)], [f"x{j}" for j in range(DIMS)])
 
-    return keyed(docs).mapInArrow(run, "doc_id long, text string, n_words long, " + ", ".join(f"x{j} double" for j in range(DIMS))).where("n_words > 0")
+    return keyed(docs).mapInArrow(run, ", ".join(f"x{j} double" for j in range(DIMS)))
 
 
-def curve_keys(points: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(doc_id, text, n_words, key) of vectors()."""
-    edges = points.agg(*(f(f"x{j}") for j in range(DIMS) for f in (F.min, F.max))).first()
+def curve_keys(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """(doc_id, text, n_words, key) for each document with words. One step from text to key: a second one would
+    need a second worker for each task, and texts sent through both."""
+    edges = vectors(docs).agg(*(f(f"x{j}") for j in range(DIMS) for f in (F.min, F.max))).first()
     low = np.array([edges[2 * j] or 0 for j in range(DIMS)])
     width = np.maximum(np.array([edges[2 * j + 1] or 0 for j in range(DIMS)]) - low, 1e-12)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.stack([b.column(3 + j).to_numpy() for j in range(DIMS)], axis=1)
-            cells = np.clip((x - low) / width * (1 << depth), 0, (1 << depth) - 1).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(hilbert(cells, depth))], ["doc_id", "text", "n_words", "key"])
+            for w in T.each_words(b.column(1)):
+                n = np.diff(w.first)
+                cells = np.clip((projected(w) - low) / width * (1 << depth), 0, (1 << depth) - 1).astype(np.int64)
+                rows = pa.RecordBatch.from_arrays([*(b.column(c)[w.lo : w.hi] for c in (0, 1)), pa.array(n), pa.array(hilbert(cells, depth))], ["doc_id", "text", "n_words", "key"])
+                yield rows.filter(pa.array(n > 0))
 
-    return points.mapInArrow(run, "doc_id long, text string, n_words long, key long")
+    return keyed(docs).mapInArrow(run, "doc_id long, text string, n_words long, key long")
 
 
 def _cut(capacity: int):
     """The pieces of each document (doc_id, text, key, at), at being its first word's place on the line."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             key, place = b.column(2).to_numpy(), b.column(3).to_numpy()
@@ -119,7 +125,7 @@ def packs(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     position is the piece's place in the pack, in words; first_word its first word in the document."""
     if capacity < 1:
         raise ValueError("capacity must be positive")
-    keys = curve_keys(vectors(docs))
+    keys = curve_keys(docs)
     # The sort is written once: part numbers come from a sample of the data, and must be the same for both uses.
     line = written(keys.repartitionByRange("key", "doc_id", "n_words").sortWithinPartitions("key", "doc_id", "n_words").withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()), "line")
     # One row a partition of the sort: few, however many documents there are.

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import written
+from .common import lean, written
 
 SAMPLE, FEATURES, RIDGE, WIDTH, KEEP, SEED = 20_000, 256, 0.1, 2.0, 0.5, 7
 STATISTICS = [
@@ -72,6 +72,7 @@ def statistics_of(w: T.Words) -> np.ndarray:
     )
 
 
+@lean
 def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for w in T.each_words(b.column(0)):
@@ -129,6 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int
     w, b = rng.normal(size=(k, features)) / (WIDTH * np.sqrt(k)), rng.uniform(0, 2 * np.pi, features)
     model = Model(mean, scale, w, b, np.zeros(features + 1), np.zeros(1), np.zeros(1))
 
+    @lean
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, c = np.zeros((features + 1, features + 1)), np.zeros(features + 1)
         for part in batches:
@@ -162,6 +164,7 @@ def _scored(model: Model | None, texts: pa.Array) -> tuple[np.ndarray, np.ndarra
 def scores(docs: DataFrame, model: Model | None, keep: float = KEEP) -> DataFrame:
     """(doc_id, score, probability, keep) for every row of docs."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s, p = _scored(model, b.column(1))
@@ -174,6 +177,7 @@ def accepted(docs: DataFrame, model: Model | None, keep: float = KEEP) -> DataFr
     """The rows of docs, with all their columns, whose probability is at least ``keep``."""
     at = docs.columns.index("text")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array(_scored(model, b.column(at))[1] >= keep))

@@ -35,13 +35,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import keyed, written
+from .common import keyed, lean, written
 
 BITS, TABLES, BUDGET, TOTAL = 36, 7, 3, 42
+PORTION = 4096  # words whose bits are held as numbers at a time, 1 KB each
 U = np.uint64
 SIGNATURE = "doc_id long, th long, s0 long, s1 long, s2 long, s3 long, n_words int"
 
 
+def _word_bits(h: np.ndarray) -> np.ndarray:
+    """The 256 bits of each word, as numbers."""
+    four = np.stack([T.mix(h + U(0xA0761D6478BD642F * (j + 1) % (1 << 64))) for j in range(4)], axis=1)
+    return np.unpackbits(four.view(np.uint8), axis=1, bitorder="little").astype(np.float32)
+
+
 def signatures_of(words: T.Words) -> tuple[np.ndarray, np.ndarray]:
     """(one row of 4 x 64 bits for each document, number of distinct words)."""
     n = words.hi - words.lo
@@ -58,20 +65,25 @@ def signatures_of(words: T.Words) -> tuple[np.ndarray, np.ndarray]:
     weight = np.clip(words.end[at] - words.start[at] - 1, 0.25, 9).astype(np.float32)
     first = np.searchsorted(d, np.arange(n + 1))
     size[:] = np.diff(first)
-    for lo in range(0, n, 64):
-        a, b = first[lo], first[min(n, lo + 64)]
-        if a == b:
-            continue
-        four = np.stack([T.mix(h[a:b] + U(0xA0761D6478BD642F * (j + 1) % (1 << 64))) for j in range(4)], axis=1)
-        bits = np.unpackbits(four.view(np.uint8), axis=1, bitorder="little").astype(np.float32)
-        for k in range(lo, min(n, lo + 64)):
-            x, y = first[k] - a, first[k + 1] - a
-            if y > x:
-                w = weight[x + a : y + a]
-                out[k] = np.packbits(w @ bits[x:y] * 2 > w.sum(), bitorder="little").view(U)
+    lo = 0
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(first, first[lo] + PORTION, "right")) - 1)
+        a, b = int(first[lo]), int(first[hi])
+        if b - a > PORTION:  # one document; weights are quarters, so sums are exact in any order
+            votes = sum((weight[x : min(b, x + PORTION)] @ _word_bits(h[x : min(b, x + PORTION)])).astype(float) for x in range(a, b, PORTION))
+            out[lo] = np.packbits(votes * 2 > weight[a:b].sum(dtype=float), bitorder="little").view(U)
+        elif b > a:
+            bits = _word_bits(h[a:b])
+            for k in range(lo, hi):
+                x, y = first[k] - a, first[k + 1] - a
+                if y > x:
+                    w = weight[x + a : y + a]
+                    out[k] = np.packbits(w @ bits[x:y] * 2 > w.sum(), bitorder="little").view(U)
+        lo = hi
     return out, size
 
 
+@lean
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for w in T.each_words(b.column(1)):
@@ -103,6 +115,7 @@ def _rotated(key: np.ndarray, block: int, bits: int, budget: int) -> np.ndarray:
 def _routes(bits: int, tables: int, budget: int):
     size = bits // (budget + 1)
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows == 0:
@@ -240,6 +253,7 @@ def _edges(bits: int, tables: int, budget: int, total: int):
         ok = links > 0
         return pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array(least[label][ok]), pa.array(links[ok])], ["a", "b", "links"])
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for b in batches:

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import keyed, written
+from .common import keyed, lean, written
 
 LENGTH, GRAM = 50, 25
 BARRIER = 1 << 62  # no barriers: groups are maximal; a smaller one bounds the text that is sent, and cuts groups into chains
@@ -119,6 +119,7 @@ def stretches(w: T.Words, length: int = LENGTH, gram: int = GRAM) -> list[tuple[
 
 def _stretch_rows(length: int, gram: int):
     """Result rows of periodic stretches: each is a group of two occurrences a period apart, which overlap."""
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
@@ -135,6 +136,7 @@ def _stretch_rows(length: int, gram: int):
 
 
 def _anchor_rows(length: int, gram: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for w in T.each_words(b.column(1), normal=False):
@@ -157,6 +159,7 @@ def _anchor_rows(length: int, gram: int):
 
 
 def _suffix_rows(length: int, gram: int, barrier: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             marks = b.column(3)
@@ -328,6 +331,7 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _groups(length: int, barrier: int):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, now, ready = [], None, []
         for b in batches:
@@ -383,6 +387,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     have = rows.where("doc_id is not null").join(found, ["doc_id", "text_hash"], "left").select("row.*", F.col("cuts").alias("cuts of the row"))
     at, chars = names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             cuts = b.column(len(names))

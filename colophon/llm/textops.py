@@ -2,8 +2,8 @@
 
 Everything here works on whole Arrow batches with numpy: no Python loop runs per
 word or per character. A batch is cut at document boundaries into pieces of about
-``PIECE_BYTES`` so that the temporary arrays stay in cache; a document longer than
-that is one piece of its own, never truncated.
+``PIECE_BYTES``, or ``WORD_BYTES`` where words are hashed (temporary arrays have 8 bytes and more for each
+byte of text), so that these stay in cache; a document longer than that is one piece of its own, never truncated.
 
 Word hashes are 64-bit: a polynomial in an odd base modulo 2**64 followed by a
 finalising mix. Two different words collide with probability about 2**-64.
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES, WORD_BYTES = 1 << 20, 1 << 18
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INV = pow(BASE, -1, 1 << 64)
@@ -140,7 +140,7 @@ def words_of(data: np.ndarray, off: np.ndarray, lo: int = 0, normal: bool = True
     return Words(lo, lo + k, data, off, start, np.flatnonzero(tail) + 1, mix(h), np.searchsorted(start, off))
 
 
-def each_words(col: pa.Array, normal: bool = True, size: int = PIECE_BYTES) -> Iterator[Words]:
+def each_words(col: pa.Array, normal: bool = True, size: int = WORD_BYTES) -> Iterator[Words]:
     """Words of a string column, piece by piece. Every document is whole within one piece."""
     data, off = string_buffers(col)
     for lo, hi in pieces(off, size):

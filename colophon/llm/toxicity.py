@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
+from .common import lean
 
 NAMES = ["OTHER", "INSULT", "THREAT", "TARGET", "NEGATION", "REPORT", "INTENT", "ABUSE", "LATE_NEGATION", "COMMA", "DENIED_INSULT", "DENIED_THREAT", "DENIED_ABUSE"]
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, INTENT, ABUSE, LATE_NEGATION, COMMA, *_ = range(len(NAMES))
@@ -257,6 +258,7 @@ def learned_insults(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, al
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some), "id")  # at most 11 * sample rows are broadcast
     toxic, other = rows.where("toxic = 1").select("text"), rows.where("toxic <> 1").select("text")
 
+    @lean
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for w in T.each_words(b.column(0)):
@@ -272,6 +274,7 @@ def learned_insults(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, al
         return []
     candidates = np.sort(by_word.word.to_numpy().view(np.uint64))
 
+    @lean
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, total = np.zeros(len(candidates), np.int64), 0
         for b in batches:
@@ -310,6 +313,7 @@ def toxic_documents(docs: DataFrame, extra: list[int] = (), threshold: float = T
     lexicon, machine = Lexicon.of(extra), grammar()
     kind = pa.list_(pa.struct([("clause", pa.string()), ("score", pa.float64()), ("pattern", pa.string())]))
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for w in T.each_words(b.column(1)):
@@ -326,6 +330,7 @@ def without_toxic(docs: DataFrame, extra: list[int] = (), threshold: float = THR
     """The rows of docs, with all their columns, that aren't toxic."""
     lexicon, machine, at = Lexicon.of(extra), grammar(), docs.columns.index("text")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             stays = np.ones(b.num_rows, bool)

@@ -67,3 +67,10 @@ def test_edge_cases(spark):
     assert P.packs(spark.createDataFrame([], SCHEMA)).collect() == []
     with pytest.raises(ValueError):
         P.packs(docs, 0)
+
+
+def test_keys_take_one_worker_a_task(spark):
+    docs = spark.createDataFrame([(1, "one two", "c", 1, 0.0), (2, "", "c", 1, 0.0), (3, "three", "c", 1, 0.0), (None, "four", "c", 1, 0.0)], SCHEMA)
+    keys = P.curve_keys(docs)
+    assert keys._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.text, r.n_words) for r in keys.collect()) == [(1, "one two", 2), (3, "three", 1)]

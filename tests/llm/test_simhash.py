@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 
@@ -102,3 +104,21 @@ def test_signature_matches_a_plain_one():
         four = np.concatenate([T.mix(h + np.uint64(0xA0761D6478BD642F * (j + 1) % (1 << 64))) for j in range(4)])
         total += (2.0 * np.unpackbits(four.view(np.uint8), bitorder="little") - 1) * min(max(len(x) - 1, 0.25), 9)
     assert n[0] == 6 and (np.unpackbits(sig[0].view(np.uint8), bitorder="little") == (total > 0)).all()
+
+
+def test_signatures_of_many_and_of_long_documents_take_bounded_memory():
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"{x:x}" for x in rng.integers(1, 1 << 40, n)) for n in [5000] * 60 + [S.PORTION - 1, S.PORTION, S.PORTION + 1, 3 * S.PORTION, 1]]
+    raw = [t.encode() for t in texts]
+    w = T.words_of(np.frombuffer(b"".join(raw), np.uint8), np.r_[0, np.cumsum([len(r) for r in raw])])
+    tracemalloc.start()
+    sig, n = S.signatures_of(w)
+    most = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert most < 100 and n[-2] > 12_000  # 440 MB when the bits of 64 documents were held at a time
+    for k in range(len(texts) - 5, len(texts)):
+        each = list(dict.fromkeys(texts[k].split()))
+        h = T.hash_words(each)
+        bits = np.unpackbits(np.stack([T.mix(h + np.uint64(0xA0761D6478BD642F * (j + 1) % (1 << 64))) for j in range(4)], axis=1).view(np.uint8), axis=1, bitorder="little")
+        weight = np.clip([len(x) - 1 for x in each], 0.25, 9)
+        assert n[k] == len(each) and (np.unpackbits(sig[k].view(np.uint8), bitorder="little") == (weight @ bits * 2 > weight.sum())).all()
