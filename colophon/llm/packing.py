@@ -93,6 +93,17 @@ def curve_keys(docs: DataFrame, depth: int = DEPTH) -> DataFrame:
     return keyed(docs).mapInArrow(run, "doc_id long, text string, n_words long, key long")
 
 
+@lean
+def _along(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds to each row of curve_keys(), sorted, the words that stand before it in its part of the sort (start). The sum is
+    carried on from batch to batch of a task; a window would need one more exchange, with the texts."""
+    upto = 0
+    for b in batches:
+        n = b.column(2).to_numpy()
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(upto + np.cumsum(n) - n)], ["doc_id", "text", "n_words", "key", "start"])
+        upto += int(n.sum())
+
+
 def _cut(capacity: int):
     """The pieces of each document (doc_id, text, key, at), at being its first word's place on the line."""
 
@@ -127,10 +138,11 @@ def packs(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         raise ValueError("capacity must be positive")
     keys = curve_keys(docs)
     # The sort is written once: part numbers come from a sample of the data, and must be the same for both uses.
-    line = written(keys.repartitionByRange("key", "doc_id", "n_words").sortWithinPartitions("key", "doc_id", "n_words").withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()), "line")
+    # Texts are exchanged once, for the sort: files of an exchange stay on disk until the driver collects its garbage.
+    order = keys.repartitionByRange("key", "doc_id", "n_words").sortWithinPartitions("key", "doc_id", "n_words")
+    line = written(order.mapInArrow(_along, "doc_id long, text string, n_words long, key long, start long").withColumn("part", F.spark_partition_id()), "line")
     # One row a partition of the sort: few, however many documents there are.
     before = line.groupBy("part").agg(F.sum("n_words").alias("words")).withColumn("before", F.sum("words").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))
-    within = line.select("part", "place", F.sum("n_words").over(Window.partitionBy("part").orderBy("place")).alias("upto"))  # without the texts
-    at = line.join(within, ["part", "place"]).join(F.broadcast(before.select("part", F.coalesce("before", F.lit(0)).alias("before"))), "part")
-    at = at.select("doc_id", "text", "key", (F.col("before") + F.col("upto") - F.col("n_words")).alias("at"))
+    at = line.join(F.broadcast(before.select("part", F.coalesce("before", F.lit(0)).alias("before"))), "part")
+    at = at.select("doc_id", "text", "key", (F.col("before") + F.col("start")).alias("at"))
     return at.mapInArrow(_cut(capacity), "pack_id long, position long, doc_id long, key long, first_word long, n_words long, text string")

@@ -74,3 +74,42 @@ def test_keys_take_one_worker_a_task(spark):
     keys = P.curve_keys(docs)
     assert keys._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
     assert sorted((r.doc_id, r.text, r.n_words) for r in keys.collect()) == [(1, "one two", 2), (3, "three", 1)]
+
+
+def test_texts_are_exchanged_once(spark, tmp_path):
+    """However soon the files of an exchange are deleted: bytes written by all exchanges, against those of one of the texts."""
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(f"{x:x}" for x in rng.integers(0, 1 << 60, 500)), "c", 1, 0.0) for i in range(400)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    context = spark.sparkContext._jsc.sc()
+
+    def written():
+        context.listenerBus().waitUntilEmpty(30_000)
+        executors = context.statusStore().executorList(True)
+        return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+    def exchanged(df):
+        before = written()
+        df().write.format("noop").mode("overwrite").save()
+        return written() - before
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables too large for it
+    try:
+        once = exchanged(lambda: docs.repartitionByRange("doc_id"))
+        assert once > 10**6
+        assert exchanged(lambda: P.packs(docs)) < 1.3 * once
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_sums_go_on_from_batch_to_batch(spark):
+    """Parts of the sort with many Arrow batches."""
+    docs = spark.range(3000).selectExpr("id as doc_id", "repeat('w ', int(id % 7) + 1) as text")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        got = P.packs(docs, 50).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(tuple(r)[:6] for r in got) == brute([(i, "w " * (i % 7 + 1)) for i in range(3000)], 50)
