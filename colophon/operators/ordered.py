@@ -3,12 +3,33 @@ and the first row of each range (a row for each of at most ``RANGES``) is handed
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGES = 64
 
 
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """df as a Parquet table in the shared folder named in spark.checkpoint.dir, read back: what a document's scan gives is found once, however often the plan after it goes over these rows.
+    A local master without such a folder gets a temporary one."""
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        option = spark.sparkContext._jsc.sc().getCheckpointDir()
+        root = option.get() if option.isDefined() else None
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="colophon-")
+        spark.sparkContext.setCheckpointDir(root)
+    path = f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def in_ranges(df: DataFrame, key: str, ranges: int = RANGES) -> DataFrame:
     """df with the column range_n, which grows with the key."""
     points = [k / ranges for k in range(1, ranges)]

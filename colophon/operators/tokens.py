@@ -115,9 +115,9 @@ def choices(forms: DataFrame) -> DataFrame:
     return d.select(*forms.columns, "choice_kind", orig.alias("orig"), F.when((k == "abbr") | ((k == "reg") & ~split & F.col("expansion").isNull()), F.col("long")).alias("inner_orig"), reg.alias("reg"))
 
 
-def split_words(tokens: DataFrame) -> DataFrame:
-    """Split words (kind word_lb) with the two parts of what the print has: (text, left, right, choice_kind, orig_left, orig_right, reg, n)."""
-    d = choices(forms(tokens.where("kind = 'word_lb'")))
+def split_words(forms: DataFrame) -> DataFrame:
+    """Split words (forms of kind word_lb) with the two parts of what the print has: (text, left, right, choice_kind, orig_left, orig_right, reg, n)."""
+    d = choices(forms.where("kind = 'word_lb'"))
     return d.select(
         "text", F.expr("substr(text, 1, left_len)").alias("left"), F.expr("substr(text, left_len + 1)").alias("right"), "choice_kind",
         F.expr("substr(orig, 1, left_len)").alias("orig_left"), F.expr("substr(orig, left_len + 1)").alias("orig_right"), "reg", "n",

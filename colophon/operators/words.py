@@ -4,12 +4,13 @@ An annotator sees one word at a time, without context, so it is asked once for e
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import scan
-from .resolve import resolve
-from .scan import BIBL, KIND, TEXT, TOK
+from . import columns
+from .resolve import is_plain, resolve
 
 WORD = "tok_n int, form string, norm string, reading string"
 
@@ -19,28 +20,45 @@ def norm_text(left: Column, right: Column) -> Column:
     return F.regexp_replace(F.trim(F.concat(left, F.coalesce(right, F.lit("")))), "-$", "")
 
 
-def words_of(text: str) -> list[tuple]:
-    """(place, form as printed, form for the annotator, which reading is annotated) of words outside citations: of an abbreviation its expansion, of another choice the
-    printed form with the regular one's annotation, else the word. Abbreviations without expansion aren't annotated."""
-    out = []
-    for t in scan.tokens_of(text):
-        kind, x = t[KIND], t[TEXT]
-        if t[BIBL] or kind in ("pc", "dot"):
-            continue
-        if kind == "amp":
-            out.append((t[TOK], "&", "et", "expan"))
-            continue
-        c = resolve(kind, x)
-        reading = {"abbr": "expan", "macron": "expan", "long_s_macron": "expan", "plain": "w"}.get(c.kind, "orig")
-        norm = c.reg.strip()
-        norm = norm[:-1] if norm.endswith("-") else norm
-        if norm:
-            out.append((t[TOK], c.inner or c.orig, norm, reading))
-    return out
+READING = {"abbr": "expan", "macron": "expan", "long_s_macron": "expan", "plain": "w"}
+
+
+def _form(kind: int, x: str) -> tuple[str, str, str] | None:
+    if kind in (columns.PC, columns.DOT):
+        return None
+    if kind == columns.AMP:
+        return "&", "et", "expan"
+    if kind == columns.WORD and is_plain(x):
+        return x, x, "w"  # no word ends in a hyphen
+    c = resolve(columns.KINDS[kind], x)
+    norm = c.reg.strip().removesuffix("-")
+    return (c.inner or c.orig, norm, READING.get(c.kind, "orig")) if norm else None
+
+
+def _words(texts: list) -> tuple:
+    c = columns.scanned(texts)
+    forms = [_form(k, x) for k, x in c.forms]
+    known = np.array([f is not None for f in forms], bool)[c.form] & (c.bibl_id == 0)
+    at = pa.array(c.form[known])
+    return c.doc[known], [c.tok_n[known], *(pa.array([f and f[i] for f in forms], pa.string()).take(at) for i in range(3))]
 
 
 def annotatable(docs: DataFrame) -> DataFrame:
-    return scan.rows_of(docs, WORD, words_of)
+    """(doc_id, WORD): (place, form as printed, form for the annotator, which reading is annotated) of words outside citations: of an abbreviation its expansion, of another choice the
+    printed form with the regular one's annotation, else the word. Abbreviations without expansion aren't annotated."""
+    return columns.columns_of(docs, WORD, _words)
+
+
+def norms(docs: DataFrame) -> DataFrame:
+    """(norm, n): the distinct forms for the annotator among annotatable words, and how many words have each; added up within a portion first."""
+
+    def made(texts: list) -> list:
+        c = columns.scanned(texts)
+        found, _, n = columns.counted(c, c.bibl_id == 0)
+        forms = [_form(k, x) for k, x in found]
+        return [[f[1] for f in forms if f], [k for f, k in zip(forms, n.tolist()) if f]]
+
+    return columns.columns_of(docs, "norm string, n long", made, None).groupBy("norm").agg(F.sum("n").alias("n"))
 
 
 def annotated(words: DataFrame, annotator: DataFrame) -> DataFrame:
@@ -55,8 +73,9 @@ def features(msd: Column) -> Column:
 
 
 def feature_rows(annotated: DataFrame) -> DataFrame:
-    """(feature, value, n)"""
-    return annotated.select(F.explode("msd").alias("feature", "value")).groupBy("feature", "value").agg(F.count("*").alias("n"))
+    """(feature, value, n); annotated may have a column n, how many words a row stands for."""
+    n = F.sum("n") if "n" in annotated.columns else F.count("*")
+    return annotated.select(F.explode("msd").alias("feature", "value"), *(["n"] if "n" in annotated.columns else [])).groupBy("feature", "value").agg(n.alias("n"))
 
 
 def shows_number(line_n: Column) -> Column:

@@ -38,9 +38,8 @@ def _tei(packed: str, enrich: bool) -> str:
 
 
 def enrich(docs: DataFrame) -> DataFrame:
-    named = citations.scan.rows_of(docs.select(F.struct("doc_id", "column").alias("row"), "text"), citations.CITATION, citations.citations_of, "row")
-    base = F.coalesce(F.regexp_replace("bib_id", "^bib_", ""), F.lit("noref"))
-    return named.select("row.doc_id", "row.column", F.concat_ws("_", F.lit("cit"), "row.column", base, F.col("cit_n").cast("string")).alias("cit_id"), *[c for c in named.columns if c != "row"])
+    named = citations.citations(docs.select(F.struct("doc_id", "column").alias("row"), "text"), "row", "row.column", locators=True)
+    return named.select("row.doc_id", "row.column", "cit_id", *[c for c in named.columns if c not in ("row", "cit_id")])
 
 
 def validate(editions: DataFrame) -> DataFrame:
