@@ -33,7 +33,9 @@ def test_columns_agree_with_the_scan_of_one_document():
     for t, n in zip(found, c.per_doc.tolist()):
         assert got[at : at + n] == scan.tokens_of(t)
         at += n
-    assert at == len(got) and [x for x in K.scanned(found).texts] == c.texts
+    fast = K.scanned(found)  # without start, lines are lexed between their marks
+    assert at == len(got) and fast.texts == c.texts
+    assert all((getattr(fast, f) == getattr(c, f)).all() for f in ("doc", "line_n", "tok_n", "kind", "left_len", "para_id", "sent_id", "italic", "bibl_id", "sol_n", "eol_n", "lb_n"))
 
 
 def test_portions_are_bounded():
@@ -70,6 +72,11 @@ def test_marks_of_plain_columns_are_text(spark):
     assert [tuple(r) for r in structure.joins_left(docs).collect()] == [(1, 2, "ab*", "@x", "ab*@x")]  # the second's last line is no catchword, nor is what stands before a lone hyphen
 
 
+def test_stars_in_a_catchword_are_text(spark):
+    docs = spark.createDataFrame([(1673, "a b c¬\nEnlichie### ach.***"), (1674, "That*** in")], "doc_id long, text string")  # as in sf0.1
+    assert [tuple(r)[2:4] for r in structure.joins_left(docs).collect()] == [("Enlichie### ach.***", "That***")]
+
+
 def test_added_up_within_portions(spark):
     docs = edition.edition(spark, SF, True)
     want = {(r.abbr, r.bib_id, r.cert, r.status): r.n for r in C.report(C.citations(docs)).collect()}
